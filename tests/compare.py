@@ -49,14 +49,16 @@ def bag(columns: list[str], rows) -> Counter:
 
 def compare(spark, con, sf_dir: str, query, statement: str) -> tuple[bool, str]:
     df = query(spark, sf_dir)
+    start = time.time()
     ours = df.collect()
+    spent = time.time() - start
     relation = con.execute(statement)
     columns, theirs = [c[0] for c in relation.description], relation.fetchall()
     if sorted(df.columns) != sorted(columns):
         return False, f"columns {sorted(set(df.columns) ^ set(columns))}"
     a, b = bag(df.columns, ours), bag(columns, theirs)
     if a == b:
-        return True, f"{len(ours)} rows"
+        return True, f"{len(ours)} rows (collect {spent:.2f}s)"
     return False, (f"{len(ours)} vs {len(theirs)} rows\n   only spark {list((a - b))[:2]}"
                    f"\n   only duckdb {list((b - a))[:2]}")
 
