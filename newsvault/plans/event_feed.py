@@ -20,69 +20,71 @@ SECOND_LOAD_TIME = "2026-02-02 06:00:00"
 SECOND_LOAD_FROM = "2024-01-16 00:00:00"
 
 
+# Columns of the demonstration tables in use; declared, so no footer is read to plan.
+_TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderpriority string",
+    "customer": "c_custkey long, c_name string",
+    "documents": "doc_id long, text string, source string",
+    "pages": "page_id long, url string, html string",
+}
+
+
+_CODE = "char(65 + n_nationkey) || char(65 + n_regionkey)"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, code, name, continent): 25 countries on five continents."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    letter = lambda c: F.char(c + 65)
-    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
-            .select(F.col("n_nationkey").alias("k"),
-                    F.concat(letter(F.col("n_nationkey")),
-                             letter(F.col("n_regionkey"))).alias("code"),
-                    F.col("n_name").alias("name"), F.col("r_name").alias("continent")))
+    return (table(spark, sf_dir, "nation")
+            .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+            .selectExpr("n_nationkey AS k", f"{_CODE} AS code", "n_name AS name",
+                        "r_name AS continent"))
 
 
 def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country dimension; the first five countries have a second code."""
-    base = countries(spark, sf_dir)
-    second = base.where("k < 5").withColumn(
-        "code", F.concat(F.lit("Z"), F.char(F.col("k") + 65)))
-    return base.unionByName(second).select(
-        F.col("code").alias("country_code"), F.col("name").alias("country_name"),
-        "continent")
-
-
-def feed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The filled raw columns plus ``ts`` and ``event_type`` of the event."""
-    events = table(spark, sf_dir, "events")
-    code = countries(spark, sf_dir).select("k", "code")
-    first = code.select(F.col("k").alias("ka"), F.col("code").alias("code_a"))
-    second = code.select(F.col("k").alias("kb"), F.col("code").alias("code_b"))
-    e, text = F.col("event_id"), lambda c: c.cast("string")
-    stamp = F.date_format("ts", "yyyyMMddHHmmss")
-    extra = F.when(e % 25 < 5, F.concat(F.lit("Z"), F.char(e % 25 + 65))).otherwise("x1")
-    located = F.concat(F.lit("1#p#"), F.col("code_a"), F.lit("#r#0#0#f;4#q#"),
-                       F.col("code_b"), F.lit("#r#0#0#f;1#p#"), extra, F.lit("#r#0#0#f"))
-    overall = F.concat(text(e % 25 - 12), F.lit("."), F.lpad(text(e % 100), 2, "0"))
-    negative = F.when(e % 31 == 0, "x").otherwise(text(e % 7))
-    kind = F.col("event_type")
-    return (events.join(first, e % 25 == F.col("ka")).join(second, (e * 7) % 25 == F.col("kb"))
-            .select(
-                "event_id", "ts", "event_type",
-                F.concat(stamp, F.lit("-"), text(e)).alias("_c0"),
-                F.when(e % 97 == 0, "bad").otherwise(stamp).alias("_c1"),
-                F.concat(F.lit("site"), text(F.col("user_id") % 20),
-                         F.lit(".example.com")).alias("_c3"),
-                F.when(e % 89 != 0, F.concat(F.lit("http://news.example.com/"), text(e))
-                       ).alias("_c4"),
-                F.when(kind == "error", "ECON_MONEYLAUNDERING,12;TAX,3")
-                .when(kind == "purchase", "WB_2076_MONEY_LAUNDERING,5")
-                .when(kind != "click", "EDUCATION,9").alias("_c8"),
-                F.when(e % 13 != 0, located).alias("_c9"),
-                F.concat_ws(",", overall, text(e % 10), negative, F.lit("1.5"), F.lit("2"),
-                            F.lit("0"), text(e % 900)).alias("_c15")))
+    codes = "explode(IF(k < 5, array(code, 'Z' || char(65 + k)), array(code)))"
+    return countries(spark, sf_dir).selectExpr(f"{codes} AS country_code",
+                                               "name AS country_name", "continent")
+
+
+# Raw columns that the feed fills, in terms of the event and two country codes.
+_FILLED = {
+    0: "stamp || '-' || event_id",
+    1: "IF(event_id % 97 = 0, 'bad', stamp)",
+    3: "'site' || (user_id % 20) || '.example.com'",
+    4: "IF(event_id % 89 <> 0, 'http://news.example.com/' || event_id, NULL)",
+    8: "CASE event_type WHEN 'error' THEN 'ECON_MONEYLAUNDERING,12;TAX,3' "
+       "WHEN 'purchase' THEN 'WB_2076_MONEY_LAUNDERING,5' WHEN 'click' THEN NULL "
+       "ELSE 'EDUCATION,9' END",
+    9: "IF(event_id % 13 <> 0, '1#p#' || code_a || '#r#0#0#f;4#q#' || code_b || "
+       "'#r#0#0#f;1#p#' || IF(event_id % 25 < 5, 'Z' || char(65 + event_id % 25), 'x1') || "
+       "'#r#0#0#f', NULL)",
+    15: "concat_ws(',', (event_id % 25 - 12) || '.' || lpad(event_id % 100, 2, '0'), "
+        "event_id % 10, IF(event_id % 31 = 0, 'x', string(event_id % 7)), '1.5', '2', '0', "
+        "event_id % 900)",
+}
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """27 text columns, unused ones NULL; ``keep`` adds columns of the event."""
-    filled = feed_columns(spark, sf_dir)
-    have = set(filled.columns)
-    return filled.select(*[
-        F.col(c) if c in have else F.lit(None).cast("string").alias(c)
-        for c in (f"_c{i}" for i in range(RAW_WIDTH))], *(keep or []))
+    nation = table(spark, sf_dir, "nation")
+    first, second = (nation.selectExpr(f"CAST(n_nationkey AS LONG) AS k{x}",
+                                       f"{_CODE} AS code_{x}") for x in "ab")
+    stamped = table(spark, sf_dir, "events").selectExpr(
+        "*", "date_format(ts, 'yyyyMMddHHmmss') AS stamp")
+    joined = (stamped.join(first, F.expr("event_id % 25 = ka"))
+              .join(second, F.expr("(event_id * 7) % 25 = kb")))
+    return joined.selectExpr(
+        *[f"CAST({_FILLED.get(i, 'NULL')} AS STRING) AS _c{i}" for i in range(RAW_WIDTH)],
+        *(keep or []))
 
 
 def bronze_feed(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:

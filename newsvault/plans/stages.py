@@ -142,7 +142,8 @@ class Warehouse:
         found = (wanted.join(errors, "file_ts", "left").join(counts, "file_ts", "left")
                  .select(F.lit(DATASET).alias("dataset"), "file_ts",
                          F.coalesce("matched_rows", F.lit(0)).alias("matched_rows"),
-                         "bytes", "error"))
+                         "bytes", F.when(F.col("bytes") == 0, "empty file")
+                         .otherwise(F.col("error")).alias("error")))
         outcomes = materialize(control.classify_files(ticks, found, now_ts),
                                scratch_path(spark, "outcomes"))
         drop_path(spark, scratch)

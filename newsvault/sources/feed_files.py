@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsvault.constants import BRONZE_PREFIX, BRONZE_SUFFIX, PANDAS_NA_VALUES, RAW_WIDTH
@@ -137,21 +137,32 @@ def drop_bad_chars(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.translate(F.col(c), _BAD_CHAR, "") for c in columns})
 
 
+def _plain_path(c: Column) -> Column:
+    return F.regexp_replace(c, r"^file:/+", "/")
+
+
 def listed_files(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
-    """(source_file, bytes) of a folder without reading contents."""
+    """(source_file, bytes) of a folder without reading contents.
+
+    Scans leave empty files out, so the names come from the reader's own file list, which
+    the driver holds anyway, and the sizes from a scan.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(path).select(F.col("path").alias("source_file"),
-                                    F.col("length").alias("bytes"))
+    found = reader.load(path)
+    names = spark.createDataFrame([(n,) for n in found.inputFiles()], "source_file string")
+    sizes = found.select(_plain_path(F.col("path")).alias("_p"), F.col("length").alias("bytes"))
+    return (names.select(_plain_path(F.col("source_file")).alias("_p"), "source_file")
+            .join(sizes, "_p", "left")
+            .select("source_file", F.coalesce("bytes", F.lit(0)).alias("bytes")))
 
 
 def skipped_files(listing: DataFrame, loaded: DataFrame) -> DataFrame:
     """Listed files that gave no rows; empty files count as skipped too."""
-    strip = lambda c: F.regexp_replace(c, r"^file:/+", "/")
-    seen = loaded.select(strip(F.col("source_file")).alias("p")).distinct()
-    return (listing.withColumn("p", strip(F.col("source_file")))
-            .join(seen, "p", "left_anti").select("source_file", "bytes"))
+    seen = loaded.select(_plain_path(F.col("source_file")).alias("_p")).distinct()
+    return (listing.withColumn("_p", _plain_path(F.col("source_file")))
+            .join(seen, "_p", "left_anti").select("source_file", "bytes"))
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
