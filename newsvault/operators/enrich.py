@@ -25,6 +25,7 @@ from newsvault.functions import (
 from newsvault.operators.marts import article_rows
 from newsvault.operators.merge import one_per_key
 from newsvault.operators.page_text import main_text
+from newsvault.operators.pruning import in_time
 
 # Subjects that make the default scorer call an article relevant.
 SUBJECTS = ["money launder", "laundering", "financial crime", "corruption", "bribe",
@@ -112,13 +113,12 @@ def judge(scored: DataFrame, max_words: int = ABSTRACT_MAX_WORDS) -> DataFrame:
 def day_slice(states: DataFrame, first_day: str, last_day: str | None = None) -> DataFrame:
     """Satellite rows of a day or a span of days that can be scored.
 
-    A range on the time itself, so files outside the days are skipped.
+    A range on the time and, where stored, on the day, so other days are not read.
     """
     start = date_lit(first_day).cast("timestamp_ntz")
     end = F.date_add(date_lit(last_day or first_day), 1).cast("timestamp_ntz")
-    when = F.col("event_datetime")
-    return states.where((when >= start) & (when < end) & F.col("source_url").isNotNull()
-                        & F.col("tone_overall").isNotNull())
+    return in_time(states, start, end).where(
+        "source_url IS NOT NULL AND tone_overall IS NOT NULL")
 
 
 def most_negative_first(states: DataFrame) -> DataFrame:

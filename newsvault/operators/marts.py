@@ -16,6 +16,7 @@ from newsvault.functions import (
     week_start,
 )
 from newsvault.operators.merge import insert_if_absent, upsert
+from newsvault.operators.pruning import in_time
 from newsvault.schemas import ARTICLE_FACT, WEEKLY_FACT
 from newsvault.sources.tables import LOOKUP_MAX_ROWS, checked_broadcast
 
@@ -55,21 +56,23 @@ def country_lookup(hub_country: DataFrame, dim: DataFrame,
 
 
 def mentions(link: DataFrame, hub_country: DataFrame, dim: DataFrame,
-             max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+             max_rows: int = LOOKUP_MAX_ROWS, co_located: bool = False) -> DataFrame:
     """(news_hkey, country_name, continent, first_mention) per link row and dimension row.
 
     A country with several codes can appear more than once for an article;
     ``first_mention`` marks one of those rows. The window runs on the partitioning and
     order that the article join needs next, so it adds no shuffle and no sort. Its groups
     are one article's rows of one country: at most the codes of that country.
+    ``co_located`` says that the link table is bucketed by ``news_hkey`` like the article
+    fact; then the link, which grows with the vault, is not shuffled at all.
     """
     named = (link.select("news_hkey", "country_hkey")
              .join(country_lookup(hub_country, dim, max_rows), "country_hkey")
              .select("news_hkey", "country_name", "continent", "country_code"))
     same = (Window.partitionBy("news_hkey", "country_name", "continent")
             .orderBy("country_code"))
-    return (named.repartition("news_hkey")
-            .withColumn("first_mention", F.row_number().over(same) == 1)
+    placed = named if co_located else named.repartition("news_hkey")
+    return (placed.withColumn("first_mention", F.row_number().over(same) == 1)
             .select("news_hkey", "country_name", "continent", "first_mention"))
 
 
@@ -77,20 +80,21 @@ def usable_articles(fact: DataFrame, since: Column | None = None) -> DataFrame:
     """Articles with a tone and a time, from ``since`` on.
 
     The cut-off is a Monday, so comparing the time itself equals comparing its week and
-    lets the scan skip files.
+    lets the scan skip days.
     """
     rows = fact.where("tone_overall IS NOT NULL AND event_datetime IS NOT NULL")
     if since is not None:
-        rows = rows.where(F.col("event_datetime") >= since)
+        rows = in_time(rows, since)
     return rows.select("news_hkey", "event_datetime", *_MEASURES, "source_domain")
 
 
 def curated_articles(fact: DataFrame, link: DataFrame, hub_country: DataFrame,
                      dim: DataFrame, since: Column | None = None,
-                     max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+                     max_rows: int = LOOKUP_MAX_ROWS, co_located: bool = False
+                     ) -> DataFrame:
     """One row per article and dimension row of its countries."""
     return usable_articles(fact, since).join(
-        mentions(link, hub_country, dim, max_rows), "news_hkey")
+        mentions(link, hub_country, dim, max_rows, co_located), "news_hkey")
 
 
 def weekly_measures(curated: DataFrame, unique_articles: bool = False,
@@ -132,9 +136,10 @@ def score(weekly: DataFrame, created_at: Column) -> DataFrame:
 def weekly_fact(fact: DataFrame, link: DataFrame, hub_country: DataFrame, dim: DataFrame,
                 created_at: Column, since: Column | None = None,
                 unique_articles: bool = False, dedupe_country: bool = False,
-                approximate: bool = False, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+                approximate: bool = False, max_rows: int = LOOKUP_MAX_ROWS,
+                co_located: bool = False) -> DataFrame:
     """The weekly fact, or its part from ``since`` on."""
-    curated = curated_articles(fact, link, hub_country, dim, since, max_rows)
+    curated = curated_articles(fact, link, hub_country, dim, since, max_rows, co_located)
     return score(weekly_measures(curated, unique_articles, dedupe_country, approximate),
                  created_at)
 
@@ -162,7 +167,7 @@ def top_negative(fact: DataFrame, k: int, since: Column | None = None) -> DataFr
     """The k most negative articles, ties by key."""
     rows = fact.where("tone_overall IS NOT NULL")
     if since is not None:
-        rows = rows.where(F.col("event_datetime") >= since)
+        rows = in_time(rows, since)
     return rows.orderBy("tone_overall", "news_hkey").limit(k)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import DataType, LongType, StringType, StructField, Struc
 from newsvault.constants import BRONZE_PREFIX, DATASET, MAX_FILES_PER_RUN
 from newsvault.functions import date_lit, ts_lit
 from newsvault.operators import control, enrich, marts, quality, staging
+from newsvault.operators.pruning import dated
 from newsvault.schemas import (
     ARTICLE_FACT,
     HUB_COUNTRY,
@@ -29,7 +30,7 @@ from newsvault.session import scratch_path
 from newsvault.sinks.export import EXPORT_ORDER, export_csv
 from newsvault.sinks.tables import (
     VersionedTable,
-    append_table,
+    append_by_day,
     drop_path,
     materialize,
     read_or_empty,
@@ -188,7 +189,7 @@ class Warehouse:
         if first > last:
             return enrich.outcome_counts(
                 enrich.judge(self._no_articles()))
-        states = enrich.day_slice(self.table("sat_news_tone", SAT_NEWS_TONE),
+        states = enrich.day_slice(self.table("sat_news_tone", dated(SAT_NEWS_TONE)),
                                   str(first), str(last))
         scored = enrich.score_articles(enrich.with_page_text(states, pages), build_scorer,
                                        subjects)
@@ -197,8 +198,8 @@ class Warehouse:
         scored.write.parquet(done)
         scored = spark.read.parquet(done)
         fact = read_table(spark, self.path("fact_ai_news_insights"), ARTICLE_FACT)
-        append_table(marts.new_articles(enrich.insights(scored, self.stamp), fact),
-                     self.path("fact_ai_news_insights"))
+        append_by_day(marts.new_articles(enrich.insights(scored, self.stamp), fact),
+                      self.path("fact_ai_news_insights"))
         closed = process.withColumn("last_processed_date", date_lit(last))
         marks.replace(control.close_days(marks.read(), closed, self.stamp))
         return enrich.outcome_counts(scored)
@@ -215,7 +216,7 @@ class Warehouse:
         spark, path = self.spark, self.path("fact_countries")
         since = marts.increment_start(read_table(spark, path, WEEKLY_FACT), lookback_weeks)
         changed = marts.weekly_fact(
-            self.table("fact_ai_news_insights", ARTICLE_FACT),
+            self.table("fact_ai_news_insights", dated(ARTICLE_FACT)),
             self.table("link_news_country", LINK_NEWS_COUNTRY),
             self.table("hub_country", HUB_COUNTRY), dim, self.stamp, since,
             unique_articles=True)

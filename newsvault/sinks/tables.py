@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from newsvault.operators.pruning import EVENT_DATE, with_event_date
 from newsvault.session import scratch_path
 
 
@@ -22,6 +23,15 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def append_by_day(df: DataFrame, path: str) -> None:
+    """Adds event rows below their day.
+
+    Rows are gathered by day first, so a task writes few files; adaptive execution splits
+    a day that holds most rows and merges small ones.
+    """
+    append_table(with_event_date(df).hint("rebalance", EVENT_DATE), path, [EVENT_DATE])
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Catalog table hashed and sorted by a join key: later joins on it need no shuffle."""
     (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")

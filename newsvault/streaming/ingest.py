@@ -17,7 +17,7 @@ from newsvault.schemas import (
     RAW27,
     SAT_NEWS_TONE,
 )
-from newsvault.sinks.tables import append_table, read_table
+from newsvault.sinks.tables import append_by_day, append_table, read_table
 from newsvault.sources.feed_files import with_source_file
 
 
@@ -56,8 +56,9 @@ def load_vault(spark: SparkSession, staged: DataFrame, root: str) -> None:
     ]
     for name, schema, rows, keys in loads:
         target = read_table(spark, f"{root}/{name}", schema)
-        append_table(unseen(rows, target, keys).select(*schema.fieldNames()),
-                     f"{root}/{name}")
+        new = unseen(rows, target, keys).select(*schema.fieldNames())
+        append = append_by_day if name == "sat_news_tone" else append_table
+        append(new, f"{root}/{name}")
 
 
 def run_to_end(stream: DataFrame, checkpoint: str,
