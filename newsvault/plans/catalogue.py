@@ -490,7 +490,7 @@ def _model_tables(spark, d) -> dict[str, DataFrame]:
            "link_news_country": put("link", vault.link_news_country(staged)),
            "sat_news_tone": put("sat", vault.sat_news_tone(staged)),
            "fact_ai_news_insights": put("fact", _fact(staged, _l1())),
-           "dim_country": feed.dim_country(spark, d)}
+           "dim_country": put("dim", feed.dim_country(spark, d))}
     out["fact_countries"] = put("weekly", marts.weekly_fact(
         out["fact_ai_news_insights"], out["link_news_country"], out["hub_country"],
         out["dim_country"], _l1(), unique_articles=True))

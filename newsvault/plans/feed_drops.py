@@ -6,10 +6,13 @@ import io
 import uuid
 import zipfile
 from collections.abc import Iterator
+from itertools import chain
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import Row
 
 from newsvault.constants import FEED_FILE_SUFFIX, RAW_WIDTH
 
@@ -38,23 +41,27 @@ class _Sink(io.RawIOBase):
         return len(data)
 
 
-def write_zip_drop(raw: DataFrame, path: str) -> None:
-    """Adds zipped TSV files to a folder, one per partition, streamed row by row."""
-    def write_partition(rows: Iterator[Row]) -> None:
-        from pyarrow import fs
+def write_zip_drop(raw: DataFrame, path: str) -> int:
+    """Adds zipped TSV files to a folder, one per partition, streamed; returns their number.
 
-        first = next(rows, None)
+    Files are named by partition, so a repeated task replaces its own file.
+    """
+    stem = uuid.uuid4().hex[:12]
+
+    def write_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        uri = path if "://" in path or not path.startswith("file:") else path[5:]
-        files, folder = fs.FileSystem.from_uri(uri)
+        files, folder = fs.FileSystem.from_uri(path.removeprefix("file:"))
         files.create_dir(folder, recursive=True)
-        name = f"{folder}/{uuid.uuid4().hex}{FEED_FILE_SUFFIX}"
-        with files.open_output_stream(name) as stream:
-            with zipfile.ZipFile(_Sink(stream), "w", zipfile.ZIP_DEFLATED) as archive:
-                with archive.open("feed.csv", "w", force_zip64=True) as member:
-                    member.write((first.value + "\n").encode())
-                    for row in rows:
-                        member.write((row.value + "\n").encode())
-    raw.select(F.concat_ws("\t", *_tsv_line()).alias("value")).foreachPartition(
-        write_partition)
+        part = TaskContext.get().partitionId()
+        with (files.open_output_stream(f"{folder}/{stem}-{part}{FEED_FILE_SUFFIX}") as out,
+              zipfile.ZipFile(_Sink(out), "w", zipfile.ZIP_DEFLATED) as archive,
+              archive.open("feed.csv", "w", force_zip64=True) as member):
+            for batch in chain([first], batches):
+                member.write("".join(f"{v}\n" for v in batch.column(0).to_pylist()).encode())
+        yield pa.record_batch([pa.array([1], pa.int64())], names=["n"])
+
+    lines = raw.select(F.concat_ws("\t", *_tsv_line()).alias("value"))
+    return lines.mapInArrow(write_partition, "n long").agg(
+        F.coalesce(F.sum("n"), F.lit(0))).first()[0]

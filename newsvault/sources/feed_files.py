@@ -89,8 +89,9 @@ def _line_batch(name: str, lines: list, error: str | None) -> pa.RecordBatch:
 def read_zip_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(source_file, line, error) of zipped feed files.
 
-    Python only unpacks; splitting happens in the JVM. Arrow batches are cut to a few
-    archives so a worker never holds many files at once.
+    Python only unpacks; splitting happens in the JVM. A scan partition holds archives of
+    ``spark.sql.files.maxPartitionBytes`` at most (or one larger one), which bounds what a
+    worker receives at once; lines leave it in chunks.
     """
     archives = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
                 .load(path).select("path", "content"))
