@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 from newsvault.constants import FEED_FILE_SUFFIX, THEME_CODES
 
+# The white space characters of Unicode text.
+_SPACE_CHARS = "".join(chr(c) for c in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+_SPACES = r"(?U)\s+"
+
 # A location is type#name#CC#...; locations are separated by ';'. The third part counts
 # when it is exactly two letters after trimming. One scan of the text, no lambda.
 _COUNTRY = r"(?:^|;)[^#;]*#[^#;]*#(?U:\s*)(\p{L}{2})(?U:\s*)(?=#|;|$)"
@@ -47,13 +53,13 @@ def contains_ignoring_case(c: Column, needle: str) -> Column:
 
 def squish(c: Column) -> Column:
     """Runs of white space to one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(c, _SPACES, " "))
 
 
 def first_words(c: Column, n: int) -> Column:
     """The trimmed text when it has at most n words, else its first n words and '...'."""
-    trimmed = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    words = F.split(trimmed, r"(?U)\s+", n + 1)
+    trimmed = F.btrim(c, F.lit(_SPACE_CHARS))
+    words = F.split(trimmed, _SPACES, n + 1)
     cut = F.concat(F.array_join(F.slice(words, 1, n), " "), F.lit("..."))
     return F.when(F.size(words) > n, cut).otherwise(trimmed)
 

@@ -571,9 +571,11 @@ def schema_sync(spark, d):
 # Enrichment ---------------------------------------------------------------------------
 
 def _documents(spark, d) -> DataFrame:
-    return feed.table(spark, d, "documents").select(
+    # Two steps, so that the normalised text is made once and then tested.
+    clean = feed.table(spark, d, "documents").withColumn("text", squish(F.col("text")))
+    return clean.select(
         "doc_id", "source", (F.col("doc_id") % 21 - 10).cast("double").alias("tone_overall"),
-        keep_if_longer(squish(F.col("text")), 100).alias("article_text"))
+        keep_if_longer(F.col("text"), 100).alias("article_text"))
 
 
 def article_prompt(spark, d):
