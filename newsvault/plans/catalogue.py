@@ -71,6 +71,15 @@ def _l2():
 
 # Building blocks ----------------------------------------------------------------------
 
+def _staging_table(spark: SparkSession, d: str) -> DataFrame:
+    """Staging as a written table, for queries that read it several times.
+
+    Parsing text is the dear part; it is done once, and each reader then scans only its
+    columns.
+    """
+    return materialize(feed.staged(spark, d), scratch_path(spark, "staging"))
+
+
 def _states(staged: DataFrame) -> DataFrame:
     """Rows that can become articles, straight from staging."""
     return (staged.where("source_url IS NOT NULL AND tone_overall IS NOT NULL "
@@ -86,7 +95,7 @@ def _fact(staged: DataFrame, stamp) -> DataFrame:
 
 def _weekly(spark: SparkSession, d: str, fact: DataFrame | None = None, **options
             ) -> DataFrame:
-    staged = feed.staged(spark, d)
+    staged = _staging_table(spark, d)
     fact = _fact(staged, _l1()) if fact is None else fact
     return marts.weekly_fact(fact, vault.link_news_country(staged),
                              vault.hub_country(staged), feed.dim_country(spark, d), _l1(),
@@ -237,7 +246,7 @@ def insert_if_absent(spark, d):
 
 
 def curated_articles(spark, d):
-    staged = feed.staged(spark, d)
+    staged = _staging_table(spark, d)
     return marts.curated_articles(
         _fact(staged, _l1()), vault.link_news_country(staged), vault.hub_country(staged),
         feed.dim_country(spark, d))
@@ -525,14 +534,14 @@ def dq_not_null(spark, d):
 
 
 def dq_unique(spark, d):
-    staged = feed.staged(spark, d)
+    staged = _staging_table(spark, d)
     return quality.check_unique(vault.hub_news(staged), "hub_news", "news_hkey").unionByName(
         quality.check_unique(vault.link_news_country(staged), "link_news_country",
                              "news_hkey"))
 
 
 def dq_orphans(spark, d):
-    staged = feed.staged(spark, d)
+    staged = _staging_table(spark, d)
     return quality.check_reference(
         vault.link_news_country(staged), "link_news_country", "news_hkey",
         _fact(staged, _l1()), "news_hkey").unionByName(
