@@ -33,6 +33,8 @@ from newsvault.functions.times import (
     next_tick,
     parse_compact_ts,
     ts_lit,
+    utc_day,
+    utc_instant,
     week_start,
 )
 

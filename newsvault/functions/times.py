@@ -45,5 +45,15 @@ def week_start(ts: Column) -> Column:
     return F.date_sub(day, F.weekday(day)).cast("timestamp_ntz")
 
 
+def utc_instant(ts: Column) -> Column:
+    """The instant at which a UTC clock shows this zone-free time."""
+    return F.concat(ts.cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def utc_day(instant: Column) -> Column:
+    """The UTC day of an instant, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86_400).cast("int"))
+
+
 def days_behind(last_day: Column, today: Column) -> Column:
     return F.date_diff(today, last_day)

@@ -87,10 +87,16 @@ class _TextCollector(HTMLParser):
 
 
 def main_text(html: str | None) -> str | None:
-    """Readable text of the page's main region; None when it is too short or missing."""
+    """Readable text of the page's main region; None when it is too short or missing.
+
+    Markup the parser rejects counts as a page without text.
+    """
     if html is None:
         return None
     collector = _TextCollector()
-    collector.feed(html)
-    text = " ".join(collector.text().split())
+    try:
+        collector.feed(html)
+        text = " ".join(collector.text().split())
+    except (AssertionError, ValueError):
+        return None
     return text if len(text) > PAGE_MIN_CHARS else None

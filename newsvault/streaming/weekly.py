@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from newsvault.functions import utc_day, utc_instant
 from newsvault.operators.marts import WEEKLY_KEYS, increment_start
 from newsvault.operators.merge import upsert
 from newsvault.sinks.tables import VersionedTable
@@ -18,9 +19,10 @@ def drop_repeats(stream: DataFrame, key: str, event_time: str = "event_datetime"
                  delay: str = "7 days") -> DataFrame:
     """One row per key within the delay; state is bounded by the watermark.
 
-    The watermark needs a zoned type, so the event time is cast.
+    Watermarks take zoned times only, so the event time becomes the instant that shows the
+    same clock in UTC.
     """
-    return (stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return (stream.withColumn(event_time, utc_instant(F.col(event_time)))
             .withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key]))
 
 
@@ -36,7 +38,8 @@ def weekly_window(stream: DataFrame, group: list[str], event_time: str = "event_
             .agg(F.count(F.lit(1)).alias("article_count"),
                  F.approx_count_distinct("source_domain").alias("approx_sources"),
                  F.avg("tone_overall").alias("avg_tone"))
-            .select(F.col("window.start").cast("timestamp_ntz").alias("week_date"), *group,
+            .select(utc_day(F.col("window.start")).cast("timestamp_ntz").alias("week_date"),
+                    *group,
                     "article_count", "approx_sources", "avg_tone"))
 
 

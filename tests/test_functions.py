@@ -62,6 +62,9 @@ def test_week_does_not_depend_on_the_session_zone(spark):
             fn.parse_compact_ts(c))) == [datetime(2026, 3, 2)]
         assert values(spark, ["20260308023000"], fn.parse_compact_ts) == [
             datetime(2026, 3, 8, 2, 30)]
+        both = lambda c: fn.utc_day(fn.utc_instant(fn.parse_compact_ts(c))).cast("string")
+        assert values(spark, ["20260308023000", "20260308235959"], both) == [
+            "2026-03-08", "2026-03-08"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
