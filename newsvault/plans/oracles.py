@@ -492,6 +492,15 @@ def statements() -> dict[str, str]:
     return out
 
 
+def _unescaped(text: str) -> str:
+    """The text with its entities resolved; HTML lets these end without a semicolon."""
+    for entity, char in (("nbsp;?", "chr(160)"), ("lt;?", "'<'"), ("gt;?", "'>'"),
+                         ("quot;?", "'\"'"), ("#39;?", "chr(39)"), ("mdash;", "chr(8212)"),
+                         ("amp;?", "'&'")):
+        text = f"regexp_replace({text}, '&{entity}', {char}, 'g')"
+    return text
+
+
 # Page text: the pages hold one article each, so its text is everything between the
 # article tags with tags turned into blanks and entities resolved.
 _PAGE_CTES = {
@@ -500,11 +509,9 @@ _PAGE_CTES = {
    '(?s)<script\\b.*?</script>|<style\\b.*?</style>|<nav\\b.*?</nav>|<footer\\b.*?</footer>|<header\\b.*?</header>', ' ', 'g') AS h FROM pages""",
     "pg1": """SELECT page_id, url,
   regexp_extract(h, '(?s)<article[^>]*>(.*?)</article>', 1) AS h FROM pg0""",
-    "pg2": """SELECT page_id, url, trim(regexp_replace(
-  replace(replace(replace(replace(replace(replace(replace(
-   regexp_replace(h, '<[^>]*>', ' ', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'),
-   '&quot;', '"'), '&#39;', ''''), '&mdash;', chr(8212)), '&amp;', '&'),
-  '[\\s\\x{85}\\p{Z}]+', ' ', 'g')) AS t FROM pg1""",
+    "pg2": "SELECT page_id, url, trim(regexp_replace(" + _unescaped(
+        "regexp_replace(h, '<[^>]*>', ' ', 'g')") +
+    """, '[\\s\\x{85}\\p{Z}]+', ' ', 'g')) AS t FROM pg1""",
     "pg": """SELECT page_id, url, CASE WHEN length(t) > 100 THEN t END AS article_text FROM pg2""",
 }
 

@@ -17,6 +17,7 @@ LONG = "word " * 30
     (f"<p>{LONG}</p><div>no</div><p>a<b>b</b> c</p>", f"{LONG}abc"),
     (f"<header><article>no</article></header><p>{LONG}</p>", LONG.strip()),
     (f"<article>{LONG}&amp; x&eacute;<!-- hidden -->y</article>", f"{LONG}& xé y"),
+    (f"<article><h1>x &amp</h1>{LONG}</article>", f"x & {LONG}".strip()),
     (f"<footer>f</footer><article><p><b>{LONG}<br><p>t</article><p>u</p>", f"{LONG}t"),
     ("<article>short</article>", None),
     ("", None), (None, None),
