@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import packing
+from . import minhash, packing
 
 QUERIES = {
+    "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
