@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import minhash, packing
+from . import line_crf, minhash, packing, rules
 
 QUERIES = {
+    "op3_quality_rules": rules.op3_quality_rules,
     "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
+    "op5_quality_classifier": line_crf.op5_quality_classifier,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_quality_rules": rules.ORACLE}
