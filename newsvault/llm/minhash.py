@@ -11,7 +11,9 @@ a shingle ends when its next arrival is later than every register of its documen
 3. In each band bucket every class is verified against one leader, the member with most
    company in all its buckets. Buckets never emit all pairs.
 4. Where members of a bucket are still in different components, those outside of its largest
-   component are verified against the rest, so no link between candidates is lost.
+   component are verified against the rest, so no link between candidates is lost. Only pairs
+   that cannot reach the threshold are left out: shingles that no other open document has
+   bound what two documents share.
 
 Texts are shuffled once, for candidates. With 26 bands of 5 rows a pair at similarity 0.8 is
 missed with probability 4e-5.
@@ -165,6 +167,37 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> Da
                    .mapInArrow(_verify(size, least), "a long, b long, linked boolean"), "verified")
 
 
+def _room(texts: DataFrame, size: int) -> DataFrame:
+    """doc_id, total shingles, whether none repeats (flat), and how many no other text has (alone)."""
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in blocks.runs(batches):
+            *_, words, rows = blocks.hashed_words(run)
+            distinct, times, row = weigh(*shingles(words, rows, size))
+            yield pa.RecordBatch.from_arrays(
+                [run.column("doc_id").take(pa.array(row)), pa.array(distinct.view(np.int64)),
+                 pa.array(times.astype(np.int64))], ["doc_id", "item", "times"])
+
+    rows = written(texts.mapInArrow(items, "doc_id long, item long, times long"), "items")
+    alone = rows.groupBy("item").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"),
+                                     F.min("times").alias("times")).where("n = 1") \
+        .groupBy("doc_id").agg(F.sum("times").alias("alone"))
+    return rows.groupBy("doc_id").agg(F.sum("times").alias("total"), (F.max("times") == 1).alias("flat")) \
+        .join(alone, "doc_id", "left").fillna(0, ["alone"])
+
+
+def _bound():
+    """Most that the similarity of x and y can be, given the shingles that only one of them has.
+
+    For sets it is the common part over the union. With weights P and Q are the shares that may
+    be common: the terms are concave and homogeneous, so they sum to PQ / (P + (1 - P) Q) at most.
+    """
+    nx, ny, ux, uy = (F.col(c) for c in ("nx", "ny", "ux", "uy"))
+    common = F.least(nx - ux, ny - uy)
+    p, q = 1 - ux / nx, 1 - uy / ny
+    weighted = F.least(p * q / (p + (1 - p) * q), p * q / (q + (1 - q) * p))
+    return F.when(F.col("fx") & F.col("fy"), common / (nx + ny - common)).otherwise(weighted)
+
+
 def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS,
             rows_a_band: int = ROWS) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its group of near copies), kept."""
@@ -189,7 +222,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
     asked = stars.select(F.col("b").alias("doc_id")).union(stars.select("a")).distinct()
     # the bucket members are all that a later round can ask for
     texts = written(docs.where("doc_id is not null")
-                    .join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+                    .join(asked.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     first = _verified(stars, texts, size, least)
     links = first.where("linked").select("a", "b")
     found = components(links)
@@ -204,9 +237,13 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
     most = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("m")) \
         .select("key", F.col("m.comp").alias("most"))
     member = member.join(most, "key")
-    left = member.where("comp <> most").select("key", F.col("doc_id").alias("x"), F.col("comp").alias("cx"))
-    right = member.select("key", F.col("doc_id").alias("y"), F.col("comp").alias("cy"), "most")
-    pairs = (left.join(right, "key").where("cx <> cy and (cy = most or x < y)")
+    room = written(_room(texts.join(member.select("doc_id").distinct(), "doc_id", "left_semi"), size), "room")
+    member = member.join(room.where(1 - F.col("alone") / F.col("total") >= least), "doc_id")
+    left, right = (member.select("key", F.col("doc_id").alias(d), F.col("comp").alias(f"c{d}"), "most",
+                                 F.col("total").alias(f"n{d}"), F.col("alone").alias(f"u{d}"),
+                                 F.col("flat").alias(f"f{d}")) for d in "xy")
+    left, right = left.where("cx <> most").drop("most"), right
+    pairs = (left.join(right, "key").where("cx <> cy and (cy = most or x < y)").where(_bound() >= least)
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
