@@ -45,7 +45,7 @@ BASE = {
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
 }
 ADDED = {
-    "secret": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+", r"[A-Za-z0-9+/_-]{16}"),
+    "secret": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+", "[0-9]"),
     "contact": (r"[A-Za-z0-9._%+-]{1,64}+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+"
                 r" ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z]{2,24}+", r"@|[\(\[]at[\)\]]"),
     "number": (r"(?<![0-9])[0-9](?:[\x20().-]?+[0-9]){6,}+", r"[0-9](?:[\x20().-]?+[0-9]){6}"),

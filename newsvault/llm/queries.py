@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import grid_join, line_crf, minhash, packing, pii, rules, suffix_dedup
+from . import grid_join, line_crf, minhash, packing, pieces, pii, rules, suffix_dedup
 
 QUERIES = {
     "op1_embedding_near_dedup": grid_join.op1_embedding_near_dedup,
+    "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_quality_rules": rules.op3_quality_rules,
     "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
     "op5_quality_classifier": line_crf.op5_quality_classifier,
