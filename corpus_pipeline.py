@@ -8,23 +8,65 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsvault.llm import packing
+from newsvault.llm import line_crf, minhash, packing, pii, suffix_dedup
 from newsvault.llm.frames import table, written
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier does not reject."""
+    model = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    scored = line_crf.quality(docs, model, "quality_score")
+    return scored.where(F.col("quality_score") >= line_crf.KEEP).select(docs.columns)
+
+
+def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, that with the smallest doc_id."""
+    gone = minhash.classes(docs).where("not kept").select("doc_id")
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of earlier ones. Bytes of a character that is cut go with it."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    kept = suffix_dedup.remove_repeats(docs, rest=rest)
+    return _with_text(docs, kept, F.col("kept_text"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by the name of its kind."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = pii.redact(pii.find(docs, pii.train(docs), rest))
+    return _with_text(docs, found, F.col("redacted"))
+
+
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("best_fit_packing", pack_stage)]
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("minhash_near_dedup", minhash_stage),
+    ("suffix_array_dedup", suffix_stage),
+    ("pii", pii_stage),
+    ("best_fit_packing", pack_stage),
+]
 
 # Trained models, a tokenizer and suffix arrays are beyond SQL; tests hold the stages against
 # brute-force versions.
 ORACLE_SQL = None
 
 
+def _with_text(docs: DataFrame, rows: DataFrame, text) -> DataFrame:
+    """The columns of ``docs`` from ``rows``, with a new text and its number of characters."""
+    rows = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(docs.columns)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table of documents."""
     docs = table(spark, sf_dir, "documents")

@@ -246,20 +246,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     return fit(x, size.astype(float), first, np.array([r.quality for r in found], int))
 
 
-def quality(docs: DataFrame, model: dict) -> DataFrame:
-    """The documents' columns and a score; texts are scored whole."""
+def quality(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
+    """The frame's columns and a score; texts are scored whole."""
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in blocks.runs(batches, limit=2 * blocks.BLOCK):
             s = score(model, *measure(*blocks.flat(run.column("text"))))
-            yield pa.RecordBatch.from_arrays([run.column("doc_id"), pa.array(s)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*run.columns, pa.array(s)], [*run.schema.names, name])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(run_all, "doc_id long, score double")
+    return docs.mapInArrow(run_all, docs.select("*", F.lit(0.0).alias(name)).schema)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents")
-    scored = quality(docs, train(docs, table(spark, sf_dir, "labels")))
+    scored = quality(docs.select("doc_id", "text"), train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= KEEP).cast("int").alias("predicted"))

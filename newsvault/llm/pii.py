@@ -206,6 +206,7 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = DEPTH
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
     """Trees, calibration and thresholds from at most ``sample`` candidates, first by a hash."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = candidates(base_spans(docs)).select("doc_id", "base", F.explode("cands").alias("c"))
     known = F.exists("base", lambda b: _overlaps(b, F.col("c"))) | (F.col("c.named") == 1)
     picked = rows.select("c.kind", *(f"c.{f}" for f in FEATURES), known.cast("int").alias("y"),
@@ -249,9 +250,10 @@ def _expression(tree, c: Column) -> Column:
     return F.when(value <= cut, _expression(left, c)).otherwise(_expression(right, c))
 
 
-def find(docs: DataFrame, model: dict | None = None) -> DataFrame:
-    """doc_id, text, base and spans (base and added ones), each by start, then kind."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def find(docs: DataFrame, model: dict | None = None, rest: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, columns named in ``rest``, base and spans (base and added ones), each by start,
+    then kind."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *rest)
     rows = base_spans(docs)
     if not model or not model["limits"]:
         return rows.withColumn("spans", F.col("base"))
@@ -299,7 +301,7 @@ def redact(found: DataFrame) -> DataFrame:
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     docs = table(spark, sf_dir, "documents")
-    found = find(docs, train(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+    found = find(docs, train(docs))
     count = (lambda k: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(k))).cast("long"))
     return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in BASE),
                         F.sha2(listing("base"), 256).alias("base_sha256"), listing("spans").alias("spans"))

@@ -446,10 +446,12 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 edges = [0, *(x for s in spans for x in s), n]
                 kept = b"".join(kept[a:b] for a, b in zip(edges[::2], edges[1::2]))
             out.append({"n_bytes": n, "n_removed": n - len(kept), "n_spans": len(spans),
-                        "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept})
-        columns = pa.Table.from_pylist(out).combine_chunks().to_batches()[0]
-        yield pa.RecordBatch.from_arrays([run.column("doc_id"), run.column("row_key"), *columns.columns],
-                                         ["doc_id", "row_key", *columns.schema.names])
+                        "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept,
+                        "kept_text": kept.decode("utf-8", "ignore")})
+        added = pa.RecordBatch.from_pylist(out)
+        passed = [c for c in run.schema.names if c != "spans"]
+        yield pa.RecordBatch.from_arrays([*(run.column(c) for c in passed), *added.columns],
+                                         [*passed, *added.schema.names])
 
 
 def _release(spark: SparkSession) -> None:
@@ -488,17 +490,18 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, block: int = blocks.BL
     return found.groupBy("doc_id", "row_key").agg(F.array_distinct(F.collect_list("spans")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
-    """The rows of ``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and kept (bytes).
+def remove_repeats(docs: DataFrame, length: int = LENGTH, rest: tuple[str, ...] = (), **options) -> DataFrame:
+    """doc_id, the columns named in ``rest``, n_bytes, n_removed, n_spans, kept_sha256, kept and kept_text.
 
-    Other columns are left out; ``row_key`` tells rows of one doc_id apart.
+    ``kept`` has the bytes that stay. A cut may fall inside a character; ``kept_text`` is without it.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                       F.xxhash64("doc_id", "text").alias("row_key"))
-    spans = removed_ranges(rows, length, **options)
-    return rows.join(spans, ["doc_id", "row_key"], "left").select("doc_id", "row_key", "text", "spans").mapInArrow(
-        _apply, "doc_id long, row_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-        "kept binary")
+                       F.xxhash64("doc_id", "text").alias("row_key"), *rest)
+    spans = removed_ranges(rows.select("doc_id", "text", "row_key"), length, **options)
+    joined = rows.join(spans, ["doc_id", "row_key"], "left").select(*rows.columns, "spans")
+    return joined.mapInArrow(_apply, rows.select(
+        "*", *(F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")),
+        F.lit("").alias("kept_sha256"), F.lit(b"").alias("kept"), F.lit("").alias("kept_text")).schema)
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
