@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import grid_join, line_crf, minhash, packing, pieces, pii, pseudo_lm, rules, suffix_dedup
+from . import grid_join, licenses, line_crf, minhash, packing, pieces, pii, pseudo_lm, rules, suffix_dedup
 
 QUERIES = {
     "op1_embedding_near_dedup": grid_join.op1_embedding_near_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
     "op5_quality_classifier": line_crf.op5_quality_classifier,
     "op6_suffix_array_dedup": suffix_dedup.op6_suffix_array_dedup,
+    "op7_license_scan": licenses.op7_license_scan,
     "op8_pii": pii.op8_pii,
     "op9_lm_scoring": pseudo_lm.op9_lm_scoring,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
