@@ -71,10 +71,10 @@ def signatures(items: np.ndarray, weights: np.ndarray, row: np.ndarray, n_rows:
     winner = np.zeros(n_rows * registers, np.uint64)
     last = np.full(n_rows, np.inf)
     arrival = np.zeros(len(items))
-    step = 0
+    step = np.zeros(1, np.uint64)
     while len(items):
-        step += 1
-        draw = blocks.mix(items + np.uint64(step) * _A)
+        step += _A
+        draw = blocks.mix(items + step)
         arrival = arrival - np.log(((draw >> np.uint64(11)) + np.uint64(1)) * 2.0 ** -53) / weights
         alive = arrival <= last[row]
         items, weights, row, arrival = items[alive], weights[alive], row[alive], arrival[alive]
@@ -255,7 +255,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
         drop_scratch(frame)
     rooted = signed.select("doc_id", "d1", "d2").join(same, ["d1", "d2"], "left") \
         .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    return rooted.select("doc_id", F.coalesce("root", "rep", "doc_id").alias("class_id")) \
+    return rooted.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id"))
+                         .alias("class_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
