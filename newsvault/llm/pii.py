@@ -3,7 +3,7 @@
 Generators are patterns. Those of the base kinds are strict: a match that passes its check is
 redacted. Those of the added kinds are wide and overlap: anything that looks like a number of a
 person, a disguised address or a secret. Each of their spans gets format and context features,
-and boosted trees, fitted on the driver on at most ``SAMPLE`` spans, score it. A span is added if
+and boosted trees, fitted on the driver on at most ``SAMPLE`` spans of about ``SAMPLE_DOCS`` documents, score it. A span is added if
 its score reaches the threshold of its kind and no base span or better candidate overlaps it.
 
 Without labelled spans the trees learn from what is known: a candidate that a passed base span
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from .frames import table
 
-SAMPLE = 20_000
+SAMPLE = 20_000                 # candidates for the fit,
+SAMPLE_DOCS = 50_000            # from about so many documents, chosen by hash
 PRECISION = 0.9
 ROUNDS, DEPTH = 24, 3
 CONTEXT = 24
@@ -206,7 +207,7 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = DEPTH
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
     """Trees, calibration and thresholds from at most ``sample`` candidates, first by a hash."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(docs.count(), 1))) < SAMPLE_DOCS).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = candidates(base_spans(docs)).select("doc_id", "base", F.explode("cands").alias("c"))
     known = F.exists("base", lambda b: _overlaps(b, F.col("c"))) | (F.col("c.named") == 1)
     picked = rows.select("c.kind", *(f"c.{f}" for f in FEATURES), known.cast("int").alias("y"),
