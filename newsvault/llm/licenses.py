@@ -132,14 +132,15 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> list
         up = np.r_[score[i - 1, 1:], score[i - 1, -1]]          # same text place, one word less of the template
         score[i] = np.maximum.accumulate(np.maximum(up, np.where(same, score[i - 1] + 1, 0)))
     found, i, c = [], n, int(score[n].argmax())
-    while i and score[i, c]:
-        if c and score[i, c - 1] == score[i, c]:
-            c -= 1
+    while i and score[i, c]:                         # the latest way there, which keeps the span tight
+        place = i - 1 + shift + c - band
+        if 0 <= place < len(text) and text[place] == template[i - 1] and score[i, c] == score[i - 1, c] + 1:
+            found.append((i - 1, place))
+            i -= 1
         elif c + 1 < width and score[i - 1, c + 1] == score[i, c]:
             i, c = i - 1, c + 1
         else:
-            found.append((i - 1, i - 1 + shift + c - band))
-            i -= 1
+            c -= 1
     return found[::-1]
 
 
