@@ -15,7 +15,6 @@ FILES_PER_DAY = 96
 MAX_FILES_PER_RUN = 17280
 FEED_FILE_SUFFIX = ".gkg.csv.zip"
 BRONZE_SUFFIX = ".bronze.csv"
-BRONZE_PREFIX = "2026"
 RAW_WIDTH = 27
 
 # Names stored in data and control rows.

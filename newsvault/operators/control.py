@@ -243,10 +243,14 @@ def moves_watermark(outcomes: DataFrame) -> DataFrame:
         & ~F.col("error_message").eqNullSafe(F.lit(MSG_FUTURE)))
 
 
-def feed_gaps(ticks: DataFrame, files: DataFrame, watermark: int) -> DataFrame:
-    """Ticks up to the watermark that were never fetched or failed: retry candidates."""
+def feed_gaps(ticks: DataFrame, files: DataFrame, marks: DataFrame) -> DataFrame:
+    """Ticks up to their dataset's watermark that were never fetched or failed: retry candidates.
+
+    ``marks`` is (dataset, last_successful_file_ts); a dataset without a mark has no gaps.
+    """
     fine = files.where(F.col("status").isin(FILE_DOWNLOADED, FILE_SKIPPED))
-    return (ticks.where(F.col("file_ts") <= watermark)
+    newest = marks.groupBy("dataset").agg(F.max("last_successful_file_ts").alias("_mark"))
+    return (ticks.join(newest, "dataset").where("file_ts <= _mark").drop("_mark")
             .join(fine.select(*FILE_KEYS), FILE_KEYS, "left_anti"))
 
 

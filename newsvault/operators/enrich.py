@@ -81,7 +81,9 @@ def subject_response(text: Column, subjects: list[str] = SUBJECTS,
 def model_responses(articles: DataFrame, build_scorer: Callable[[], Scorer]) -> DataFrame:
     """Adds ``response`` from a plug-in scorer, one Arrow batch at a time.
 
-    A scorer error leaves NULL responses, which post-processing treats as relevant.
+    Answers are taken by position and must be as many as the questions. If a batch fails, its
+    articles are asked one by one; only those that fail alone keep a NULL response, which
+    post-processing treats as relevant. ``response_error`` holds the reason.
     """
     names = articles.columns
     asked = articles.withColumn("prompt", prompt(F.col("article_text"),
@@ -92,15 +94,28 @@ def model_responses(articles: DataFrame, build_scorer: Callable[[], Scorer]) ->
         for batch in batches:
             has_text = batch["article_text"].notna()
             responses = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+            errors = responses.copy()
+
+            def ask(rows: pd.Series) -> None:
+                answers = list(scorer(batch.loc[rows, "prompt"], batch.loc[rows, "article_text"]))
+                if len(answers) != int(rows.sum()):
+                    raise ValueError(f"{len(answers)} answers to {int(rows.sum())} articles")
+                responses[rows] = pd.Series(answers, index=batch.index[rows], dtype=object)
+
             if has_text.any():
                 try:
-                    responses[has_text] = scorer(batch.loc[has_text, "prompt"],
-                                                 batch.loc[has_text, "article_text"])
+                    ask(has_text)
                 except Exception:
-                    pass
-            yield batch[names].assign(response=responses)
-
-    schema = StructType([*articles.schema.fields, StructField("response", StringType())])
+                    for row in batch.index[has_text]:
+                        one = pd.Series(batch.index == row, index=batch.index)
+                        try:
+                            ask(one)
+                        except Exception as error:
+                            errors[row] = f"{type(error).__name__}: {error}"
+            yield batch[names].assign(response=responses, response_error=errors)
+
+    schema = StructType([*articles.schema.fields, StructField("response", StringType()),
+                         StructField("response_error", StringType())])
     return asked.mapInPandas(answer, schema)
 
 
@@ -121,6 +136,12 @@ def judge(scored: DataFrame, max_words: int = ABSTRACT_MAX_WORDS) -> DataFrame:
         .otherwise(SAVED)})
 
 
+def scorable(states: DataFrame) -> DataFrame:
+    """Satellite rows of any day that can be scored."""
+    return states.where("event_datetime IS NOT NULL AND source_url IS NOT NULL "
+                        "AND tone_overall IS NOT NULL")
+
+
 def day_slice(states: DataFrame, first_day: str, last_day: str | None = None) -> DataFrame:
     """Satellite rows of a day or a span of days that can be scored.
 

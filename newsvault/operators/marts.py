@@ -18,7 +18,6 @@ from newsvault.functions import (
 from newsvault.operators.merge import insert_if_absent, upsert
 from newsvault.operators.pruning import in_time
 from newsvault.schemas import ARTICLE_FACT, WEEKLY_FACT
-from newsvault.sources.tables import LOOKUP_MAX_ROWS, checked_broadcast
 
 WEEKLY_KEYS = ["week_date", "country_name"]
 _MEASURES = ["tone_overall", "tone_positive", "tone_negative", "tone_polarity"]
@@ -41,24 +40,22 @@ def new_articles(rows: DataFrame, fact: DataFrame | None) -> DataFrame:
     return insert_if_absent(rows, fact, ["news_hkey"], ["event_datetime"])
 
 
-def country_lookup(hub_country: DataFrame, dim: DataFrame,
-                   max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+def country_lookup(hub_country: DataFrame, dim: DataFrame) -> DataFrame:
     """(country_hkey, country_code, country_name, continent) of the known countries.
 
-    The dimension is counted before it is broadcast. Hub rows are unique per code, so the
-    inner join has at most as many rows as the dimension and is broadcast under the same
-    bound; a dimension above the bound leaves both joins to shuffle.
+    Whether a side is broadcast is left to its size in bytes, as Spark measures it.
     """
     wanted = dim.select("country_code", "country_name", "continent")
-    side = checked_broadcast(wanted, max_rows)
-    known = (hub_country.select("country_hkey", "country_code").join(side, "country_code"))
-    return known if side is wanted else F.broadcast(known)
+    return hub_country.select("country_hkey", "country_code").join(wanted, "country_code")
 
 
 def mentions(link: DataFrame, hub_country: DataFrame, dim: DataFrame,
-             max_rows: int = LOOKUP_MAX_ROWS, co_located: bool = False) -> DataFrame:
+             co_located: bool = False, articles: DataFrame | None = None) -> DataFrame:
     """(news_hkey, country_name, continent, first_mention) per link row and dimension row.
 
+    ``articles`` are those that are wanted: links of others go before anything is sorted, so an
+    increment sorts its own links and not all of history.
+
     A country with several codes can appear more than once for an article;
     ``first_mention`` marks one of those rows. The window runs on the partitioning and
     order that the article join needs next, so it adds no shuffle and no sort. Its groups
@@ -66,8 +63,10 @@ def mentions(link: DataFrame, hub_country: DataFrame, dim: DataFrame,
     ``co_located`` says that the link table is bucketed by ``news_hkey`` like the article
     fact; then the link, which grows with the vault, is not shuffled at all.
     """
-    named = (link.select("news_hkey", "country_hkey")
-             .join(country_lookup(hub_country, dim, max_rows), "country_hkey")
+    link = link.select("news_hkey", "country_hkey")
+    if articles is not None:
+        link = link.join(articles.select("news_hkey").distinct(), "news_hkey", "left_semi")
+    named = (link.join(country_lookup(hub_country, dim), "country_hkey")
              .select("news_hkey", "country_name", "continent", "country_code"))
     same = (Window.partitionBy("news_hkey", "country_name", "continent")
             .orderBy("country_code"))
@@ -90,11 +89,11 @@ def usable_articles(fact: DataFrame, since: Column | None = None) -> DataFrame:
 
 def curated_articles(fact: DataFrame, link: DataFrame, hub_country: DataFrame,
                      dim: DataFrame, since: Column | None = None,
-                     max_rows: int = LOOKUP_MAX_ROWS, co_located: bool = False
-                     ) -> DataFrame:
+                     co_located: bool = False) -> DataFrame:
     """One row per article and dimension row of its countries."""
-    return usable_articles(fact, since).join(
-        mentions(link, hub_country, dim, max_rows, co_located), "news_hkey")
+    articles = usable_articles(fact, since)
+    wanted = articles if since is not None else None
+    return articles.join(mentions(link, hub_country, dim, co_located, wanted), "news_hkey")
 
 
 def weekly_measures(curated: DataFrame, unique_articles: bool = False,
@@ -136,10 +135,10 @@ def score(weekly: DataFrame, created_at: Column) -> DataFrame:
 def weekly_fact(fact: DataFrame, link: DataFrame, hub_country: DataFrame, dim: DataFrame,
                 created_at: Column, since: Column | None = None,
                 unique_articles: bool = False, dedupe_country: bool = False,
-                approximate: bool = False, max_rows: int = LOOKUP_MAX_ROWS,
+                approximate: bool = False,
                 co_located: bool = False) -> DataFrame:
     """The weekly fact, or its part from ``since`` on."""
-    curated = curated_articles(fact, link, hub_country, dim, since, max_rows, co_located)
+    curated = curated_articles(fact, link, hub_country, dim, since, co_located)
     return score(weekly_measures(curated, unique_articles, dedupe_country, approximate),
                  created_at)
 

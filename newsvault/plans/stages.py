@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
-from newsvault.constants import BRONZE_PREFIX, DATASET, MAX_FILES_PER_RUN
+from newsvault.constants import DATASET, FEED_START_TS, MAX_FILES_PER_RUN
 from newsvault.functions import date_lit, ts_lit
 from newsvault.operators import control, enrich, marts, quality, staging
 from newsvault.operators.pruning import dated
@@ -32,17 +32,19 @@ from newsvault.sinks.tables import (
     VersionedTable,
     append_by_day,
     drop_path,
+    finish_upsert,
     materialize,
+    path_exists,
     read_or_empty,
     read_table,
     upsert_partitions,
     write_bronze,
-    write_table,
 )
 from newsvault.sources.calendar import capped, feed_calendar
 from newsvault.sources.feed_files import listed_files, read_zip_lines, split_lines
 from newsvault.streaming.ingest import load_vault
 
+STAGING_MARK = StructType([StructField("last_staged_file_ts", LongType())])
 FEED_URL = "http://feed.example.com/v2"
 
 
@@ -65,7 +67,7 @@ class Warehouse:
                               control.CONTROL_TABLES[name])
 
     def table(self, name: str, schema) -> DataFrame:
-        return read_or_empty(self.spark, self.path(name), schema)
+        return read_or_empty(self.spark, self.path(name), schema).select(schema.fieldNames())
 
     # Ingest -----------------------------------------------------------------------
 
@@ -96,11 +98,12 @@ class Warehouse:
         ticks = (capped(feed_calendar(spark, start, horizon, base_url), max_files)
                  .select(F.lit(DATASET).alias("dataset"), "file_ts", "url", "filename"))
 
+        started = self.now
         try:
             outcomes = self._take_files(landed, ticks, now_ts)
         except Exception as error:
             failed = spark.createDataFrame(
-                [(run_id, control.RUN_FAILED, str(error)[:2000])],
+                [(run_id, control.RUN_FAILED, str(error))],
                 "run_id string, status string, error_message string")
             runs.replace(control.update_runs(runs.read(), failed, self.stamp))
             raise
@@ -108,6 +111,8 @@ class Warehouse:
             files.read(), ticks.join(outcomes.select("dataset", "file_ts"),
                                      control.FILE_KEYS, "left_semi")
             .withColumn("run_id", F.lit(run_id)), self.stamp)
+        begun = outcomes.select("dataset", "file_ts", F.lit(control.FILE_DOWNLOADING).alias("status"))
+        ledger = control.update_files(ledger, begun, ts_lit(started))
         ledger = control.update_files(
             ledger, outcomes.select("dataset", "file_ts", "status", "bytes",
                                     "error_message"), self.stamp)
@@ -122,8 +127,14 @@ class Warehouse:
     def _take_files(self, landed: str, ticks: DataFrame, now_ts: int) -> DataFrame:
         spark = self.spark
         file_ts = F.regexp_extract("source_file", r"(\d{14})[^/]*$", 1).try_cast("long")
-        wanted = (listed_files(spark, landed, "*.zip").withColumn("file_ts", file_ts)
-                  .join(ticks.select("file_ts"), "file_ts", "left_semi"))
+        # Only the days of this run are listed: at most the run's cap of ticks, not all that ever
+        # landed. Of several archives of a tick the last by name is taken.
+        days = [str(r[0]) for r in ticks.select(F.expr("file_ts div 1000000")).distinct().collect()]
+        wanted = (listed_files(spark, landed, "*{" + ",".join(sorted(days)) + "}*.zip")
+                  .withColumn("file_ts", file_ts)
+                  .join(ticks.select("file_ts"), "file_ts", "left_semi")
+                  .groupBy("file_ts").agg(F.max(F.struct("source_file", "bytes")).alias("f"))
+                  .select("file_ts", "f.*"))
         # Names only, at most the run's cap of them, so that other archives stay unread.
         paths = [r.source_file for r in wanted.select("source_file").collect()]
         if not paths:
@@ -136,7 +147,10 @@ class Warehouse:
         scratch = scratch_path(spark, "unzipped")
         read_zip_lines(spark, paths).withColumn("file_ts", file_ts).write.parquet(scratch)
         lines = spark.read.parquet(scratch)
-        matching = staging.theme_filter(split_lines(lines, keep=["file_ts"]))
+        # A damaged archive fails as a whole: none of its rows are kept.
+        broken = lines.where("error IS NOT NULL").select("file_ts").distinct()
+        matching = (staging.theme_filter(split_lines(lines, keep=["file_ts"]))
+                    .join(broken, "file_ts", "left_anti"))
         write_bronze(matching.select("file_ts", *RAW27.fieldNames()), self.path("bronze"))
         counts = matching.groupBy("file_ts").agg(F.count(F.lit(1)).alias("matched_rows"))
         errors = lines.groupBy("file_ts").agg(F.max("error").alias("error"))
@@ -157,16 +171,35 @@ class Warehouse:
 
     # Staging and vault ------------------------------------------------------------
 
-    def stage(self, since_file_ts: int | None = None, prefix: str = BRONZE_PREFIX) -> DataFrame:
-        """Bronze to staging; with ``since_file_ts`` only newer feed files are read."""
+    def stage(self, since_file_ts: int | None = None, start_file_ts: int = FEED_START_TS,
+              full: bool = False) -> DataFrame:
+        """Bronze to staging, from the last staged feed file on.
+
+        Staging is stored by feed file, so a file that is staged again replaces its own rows. The
+        mark moves after the write. ``since_file_ts`` names another mark, for files that were
+        taken late; ``full`` stages all files from ``start_file_ts`` on.
+        """
+        if not path_exists(self.spark, self.path("bronze")):
+            return self.table("staging", STAGING)
+        mark = VersionedTable(self.spark, self.path("control/staging_watermark"), STAGING_MARK)
+        if since_file_ts is None and not full:
+            since_file_ts = mark.read().agg(F.max("last_staged_file_ts")).first()[0]
         bronze = (self.spark.read.schema(_with(RAW27, "file_ts", LongType()))
                   .option("sep", "\t").option("quote", "").csv(self.path("bronze")))
-        bronze = bronze.where(F.col("file_ts").cast("string").startswith(prefix))
+        bronze = bronze.where(F.col("file_ts") >= start_file_ts)
         if since_file_ts is not None:
             bronze = bronze.where(F.col("file_ts") > since_file_ts)
+        newest = bronze.agg(F.max("file_ts")).first()[0]
+        if newest is None:
+            return self.table("staging", STAGING)
         raw = bronze.select(*[c for c in bronze.columns if c.startswith("_c")],
                             F.col("_metadata.file_path").alias("source_file"))
-        write_table(staging.parse(raw, self.stamp), self.path("staging"))
+        parsed = staging.parse(raw, self.stamp).withColumn(
+            "file_ts", F.regexp_extract("source_file", r"file_ts=(\d+)", 1).cast("long"))
+        (parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("file_ts").parquet(self.path("staging")))
+        mark.replace(mark.read().union(self.spark.createDataFrame([(newest,)], STAGING_MARK))
+                     .agg(F.max("last_staged_file_ts").alias("last_staged_file_ts")))
         return self.table("staging", STAGING)
 
     def load_vault(self) -> None:
@@ -214,6 +247,7 @@ class Warehouse:
     def weekly(self, dim: DataFrame, lookback_weeks: int = 0) -> DataFrame:
         """Recomputes from the newest stored week on and merges."""
         spark, path = self.spark, self.path("fact_countries")
+        finish_upsert(spark, path, "week_date", WEEKLY_FACT)
         since = marts.increment_start(read_table(spark, path, WEEKLY_FACT), lookback_weeks)
         changed = marts.weekly_fact(
             self.table("fact_ai_news_insights", dated(ARTICLE_FACT)),

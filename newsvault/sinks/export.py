@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# An export is put into one file only up to this many rows; above, files are in order.
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
 # Sort order of the exported tables.
+WEEKLY_ORDER = [("week_date", "desc"), ("article_count", "desc")]
 EXPORT_ORDER = {
     "fact_ai_news_insights": [("event_datetime", "desc")],
     "fact_countries": [("week_date", "desc"), ("country_name", "asc")],
@@ -25,19 +23,17 @@ def ordered(df: DataFrame, table: str) -> DataFrame:
     return df.orderBy(*sort_columns(EXPORT_ORDER[table]))
 
 
-def export_csv(df: DataFrame, path: str, order: list[tuple[str, str]],
-               single_file: bool = False) -> int:
+def export_csv(df: DataFrame, path: str, order: list[tuple[str, str]]) -> int:
     """Writes sorted CSV with header and returns the row count.
 
     The sort is a range partitioning, so part files follow each other in order. The count
-    comes from the write itself. ``single_file`` is honoured only for small tables.
+    comes from the write itself. Text is written as it is, blanks at its ends included.
     """
     out = df.orderBy(*sort_columns(order))
-    if single_file and df.limit(SINGLE_FILE_MAX_ROWS + 1).count() <= SINGLE_FILE_MAX_ROWS:
-        out = df.coalesce(1).sortWithinPartitions(*sort_columns(order))
     seen = Observation("export")
     (out.observe(seen, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
     return int(seen.get["rows"])
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from newsvault.operators.merge import last_per_key
 from newsvault.operators.pruning import EVENT_DATE, with_event_date
 from newsvault.session import scratch_path
 
@@ -45,6 +46,7 @@ def write_bronze(df: DataFrame, path: str) -> None:
     """
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("file_ts").option("sep", "\t").option("header", False).option("quote", "").option("escape", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("emptyValue", "").csv(path))
 
 
@@ -89,9 +91,13 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys:
     """Merges rows into a partitioned table, rewriting only the touched partitions.
 
     The touched partition values are few (the recomputed weeks) and become a literal list,
-    so the scan of the old rows is pruned to them.
+    so the scan of the old rows is pruned to them. Moving the partitions in place is not atomic,
+    so the merged rows are first written whole to ``<path>__pending``; a later call finds what a
+    stopped one left there and finishes its move before it reads anything (``finish_upsert``).
     """
-    updates = materialize(updates, scratch_path(spark, "updates"))
+    finish_upsert(spark, path, partition, schema)
+    scratch = scratch_path(spark, "updates")
+    updates = materialize(last_per_key(updates, keys), scratch)
     stored = read_table(spark, path, schema)
     merged = updates
     if stored is not None:
@@ -101,8 +107,23 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys:
             [F.lit(v).cast(schema[partition].dataType) for v in touched]))
         merged = (old.join(updates.select(*keys), keys, "left_anti")
                   .select(*updates.columns).unionByName(updates))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
+    merged.write.mode("overwrite").parquet(f"{path}__pending")
+    drop_path(spark, scratch)
+    finish_upsert(spark, path, partition, schema)
+
+
+def finish_upsert(spark: SparkSession, path: str, partition: str, schema: StructType) -> None:
+    """Moves the merged rows of an upsert that was stopped, if there are any, into place.
+
+    They replace whole partitions, so doing it twice changes nothing.
+    """
+    pending = f"{path}__pending"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{pending}/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        (spark.read.schema(schema).parquet(pending)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition).parquet(path))
+        drop_path(spark, pending)
 
 
 class VersionedTable:

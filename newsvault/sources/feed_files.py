@@ -10,18 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvault.constants import BRONZE_PREFIX, BRONZE_SUFFIX, PANDAS_NA_VALUES, RAW_WIDTH
+from newsvault.constants import PANDAS_NA_VALUES, RAW_WIDTH
 from newsvault.schemas import RAW27
 
 _CHUNK_LINES = 20_000
 _BAD_CHAR = "�"
 
 
-def bronze_glob(prefix: str = BRONZE_PREFIX) -> str:
-    """File-name pattern of the bronze files of one year."""
-    return f"{prefix}*{BRONZE_SUFFIX}"
-
-
 def read_tsv(spark: SparkSession, path: str | list[str], name_glob: str | None = None,
              with_source: bool = True) -> DataFrame:
     """27 text columns per line.
@@ -56,27 +51,34 @@ def read_lines(spark: SparkSession, path: str | list[str],
 
 
 def _unzip_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams the lines of the first member of each archive, in bounded chunks."""
+    """Streams the lines of the first member of each archive, in bounded chunks.
+
+    Whatever is wrong with an archive (no zip at all, a damaged stream or checksum, a password,
+    an unknown compression) becomes an error row of that archive and ends no other one.
+    """
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1)):
             name = path.as_py()
-            try:
-                archive = zipfile.ZipFile(io.BytesIO(content.as_buffer()))
-                member = archive.open(archive.namelist()[0])
-            except (zipfile.BadZipFile, IndexError):
-                yield _line_batch(name, [None], "not a readable zip archive")
-                continue
             lines: list[str | None] = []
             try:
-                for raw in member:
-                    lines.append(raw.rstrip(b"\r\n").decode("utf-8", errors="ignore"))
-                    if len(lines) >= _CHUNK_LINES:
-                        yield _line_batch(name, lines, None)
-                        lines = []
+                archive = zipfile.ZipFile(io.BytesIO(content.as_buffer()))
+                names = archive.namelist()
+                if not names:
+                    raise zipfile.BadZipFile("no member")
+                with archive.open(names[0]) as member:
+                    for raw in member:
+                        lines.append(raw.rstrip(b"\r\n").decode("utf-8", errors="ignore"))
+                        if len(lines) >= _CHUNK_LINES:
+                            yield _line_batch(name, lines, None)
+                            lines = []
                 yield _line_batch(name, lines, None)
-            except (zipfile.BadZipFile, EOFError, OSError, ValueError) as broken:
+            except GeneratorExit:
+                raise
+            except Exception as broken:
                 yield _line_batch(name, lines, None)
-                yield _line_batch(name, [None], f"damaged archive: {broken}")
+                kind = "not a readable zip archive" if isinstance(broken, zipfile.BadZipFile) \
+                    and not lines else "damaged archive"
+                yield _line_batch(name, [None], f"{kind}: {broken}")
 
 
 def _line_batch(name: str, lines: list, error: str | None) -> pa.RecordBatch:

@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from newsvault.schemas import DIM_COUNTRY
 
-# A lookup is broadcast only when it is known to have at most this many rows.
-LOOKUP_MAX_ROWS = 50_000
-
 
 def read_seed(spark: SparkSession, path: str, schema=DIM_COUNTRY) -> DataFrame:
     """CSV seed with header; the code ``NA`` stays a code."""
@@ -17,14 +13,6 @@ def read_seed(spark: SparkSession, path: str, schema=DIM_COUNTRY) -> DataFrame:
             .option("mode", "FAILFAST").csv(path))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a row count; a larger side takes part in a shuffle join.
-
-    The count stops after ``max_rows + 1`` rows, so it stays cheap on any input.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
               lower: int | None = None, upper: int | None = None, partitions: int = 1,
               **options: str) -> DataFrame:

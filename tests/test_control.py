@@ -123,7 +123,8 @@ def test_outcomes_and_results(spark):
     assert (summary.pct_with_data, summary.final_status) == (20.0, "partial")
     fine = control.run_results(files.where("status <> 'failed'")).first()
     assert fine.status == "success"
-    gaps = control.feed_gaps(ticks, files, T3)
+    marks = spark.createDataFrame([("gkg", T3), ("other", T0)], "dataset string, last_successful_file_ts long")
+    gaps = control.feed_gaps(ticks, files, marks)
     assert rows(gaps) == [("gkg", T3)]
 
 

@@ -70,6 +70,26 @@ def test_plug_in_scorer_and_its_failure(spark):
     assert got["a"].ai_abstract == "Summary unavailable. Tone: 1.00"
 
 
+def test_answers_are_taken_by_position_and_fail_one_by_one(spark):
+    df = spark.createDataFrame([(None, 0.0), ("a", 1.0), (None, 2.0), ("bad", 3.0), ("c", 4.0)],
+                               "article_text string, tone_overall double").coalesce(1)
+
+    def fresh_index():
+        def scorer(prompts, texts):
+            if (texts == "bad").any():
+                raise RuntimeError("cannot read this")
+            return pd.Series([t.upper() for t in texts])
+        return scorer
+
+    def short():
+        return lambda prompts, texts: ["one"] * (len(texts) - 1)
+    got = {r.tone_overall: r for r in enrich.model_responses(df, fresh_index).collect()}
+    assert [got[t].response for t in (0.0, 1.0, 2.0, 3.0, 4.0)] == [None, "A", None, None, "C"]
+    assert "cannot read this" in got[3.0].response_error and got[1.0].response_error is None
+    assert all("answers" in r.response_error for r in enrich.model_responses(df, short).collect()
+               if r.article_text)
+
+
 def test_subjects_are_found_in_the_whole_text(spark):
     text = "x " * 30000 + "FRAUD"
     df = spark.createDataFrame([(text, 1.0), ("y " * 80, 1.0)],

@@ -1,3 +1,4 @@
+import shutil
 import zipfile
 from datetime import datetime
 
@@ -163,3 +164,49 @@ def test_late_rows_of_a_batch(spark):
     assert not_late(src, None).count() == 2
     start = src.select(marts.increment_start(None).alias("s")).first()["s"]
     assert start == datetime(1900, 1, 1)
+
+
+def test_bad_archives_fail_alone_and_leave_no_rows(spark, tmp_path):
+    """Damaged bytes, a damaged checksum, a password flag, no zip: each fails; others are taken."""
+    landed = tmp_path / "landed"
+    for k, ts in enumerate((20260101000000, 20260101001500, 20260101003000, 20260101004500)):
+        land(landed, ts, *[article(f"n{k}_{i}", ts=str(ts), url=f"u{k}{i}") for i in range(40)])
+    raw = {k: bytearray((landed / f"{t}.gkg.csv.zip").read_bytes()) for k, t in
+           ((1, 20260101001500), (2, 20260101003000), (3, 20260101004500))}
+    raw[1] = raw[1].replace(b"ECON", b"XCON")                 # stored member: the checksum is wrong
+    raw[2][6] |= 1                                            # encrypted, in both headers
+    raw[2][raw[2].index(b"PK\x01\x02") + 8] |= 1
+    raw[3] = bytearray(b"PK\x03\x04 no archive")
+    for k, ts in ((1, 20260101001500), (2, 20260101003000), (3, 20260101004500)):
+        (landed / f"{ts}.gkg.csv.zip").write_bytes(bytes(raw[k]))
+    with zipfile.ZipFile(landed / "20260101010000.gkg.csv.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x.csv", "\n".join("\t".join(c or "" for c in article(f"d{i}", url=f"d{i}")) for i in range(4000)))
+    whole = bytearray((landed / "20260101010000.gkg.csv.zip").read_bytes())
+    whole[len(whole) // 2] ^= 0xFF
+    (landed / "20260101010000.gkg.csv.zip").write_bytes(bytes(whole))
+    # one tick landed twice
+    (landed / "again").mkdir()
+    land(landed / "again", 20260101000000, article("other", ts="20260101000000", url="v"))
+    house = Warehouse(spark, f"{tmp_path}/house", datetime(2026, 1, 1, 1, 5))
+    outcomes = {r.file_ts: r for r in house.ingest(str(landed), "r1").collect()}
+    assert [outcomes[t].status for t in sorted(outcomes)][:5] == ["downloaded", "failed", "failed", "failed", "failed"]
+    ledger = house.control("ingestion_files").read()
+    assert ledger.count() == ledger.select("dataset", "file_ts").distinct().count() == len(outcomes)
+    assert ledger.where("download_started_at is null").count() == 0
+    staging = house.stage()
+    assert staging.count() in (1, 40) and staging.select("source_file").distinct().count() == 1
+
+
+def test_staging_reads_new_files_of_any_year(spark, tmp_path):
+    landed = tmp_path / "landed"
+    land(landed, 20261231234500, article("a", ts="20261231234500", url="u1"))
+    house = Warehouse(spark, f"{tmp_path}/house", datetime(2027, 1, 1, 0, 10))
+    assert house.stage().count() == 0
+    house.ingest(str(landed), "r1", start_from=20261231234500)
+    assert house.stage().count() == 1
+    land(landed, 20270101001500, article("b", ts="20270101001500", url="u2"))
+    house = Warehouse(spark, f"{tmp_path}/house", datetime(2027, 1, 1, 0, 20))
+    house.ingest(str(landed), "r2")
+    shutil.rmtree(tmp_path / "house/bronze/file_ts=20261231234500")     # not read again
+    assert {r.gkg_record_id for r in house.stage().collect()} == {"a", "b"}
+    assert house.stage(full=True).count() == 2

@@ -1,3 +1,5 @@
+import shutil
+
 from datetime import datetime
 
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from newsvault.operators import quality
+from newsvault.operators import merge, quality
 from newsvault.plans import catalogue
 from newsvault.sinks import export, tables
 from tests.helpers import rows
@@ -65,10 +67,10 @@ def test_ensure_and_append(spark, tmp_path):
 
 def test_export_is_ordered_and_counted(spark, tmp_path):
     df = kv(spark, *[(i, f'say "{i}", ok') for i in range(20)])
-    assert export.export_csv(df, f"{tmp_path}/e", [("k", "desc")], single_file=True) == 20
-    files = list((tmp_path / "e").glob("*.csv"))
+    assert export.export_csv(df, f"{tmp_path}/e", [("k", "desc")]) == 20
+    files = sorted((tmp_path / "e").glob("*.csv"))
     lines = files[0].read_text().splitlines()
-    assert len(files) == 1 and lines[0] == "k,v" and lines[1] == '19,"say ""19"", ok"'
+    assert lines[0] == "k,v" and lines[1] == '19,"say ""19"", ok"'
     assert export.export_csv(df, f"{tmp_path}/many", [("k", "asc")]) == 20
     back = spark.read.schema(KV).option("header", True).option("escape", '"').csv(
         f"{tmp_path}/many")
@@ -101,3 +103,30 @@ def test_declared_checks_hold_on_the_model(spark, sf_dir):
 def test_row_counts(spark):
     got = export.row_counts({"a": kv(spark, (1, "x")), "b": kv(spark)})
     assert rows(got) == [("a", 1), ("b", 0)]
+
+
+def test_csv_writes_keep_blanks(spark, tmp_path):
+    df = kv(spark, (1, "  a b  "), (2, "back\\slash"), (3, 'quote"'))
+    export.export_csv(df, f"{tmp_path}/e", [("k", "asc")])
+    back = spark.read.schema(KV).option("header", True).option("escape", '"').csv(f"{tmp_path}/e")
+    assert rows(back) == rows(df)
+
+
+def test_stopped_upsert_is_finished_by_the_next_call(spark, tmp_path):
+    """A stop after the merged rows were written, with one of two weeks moved already."""
+    schema = "week string, k int, v string"
+    frame = lambda *r: spark.createDataFrame(list(r), schema)
+    path, struct = f"{tmp_path}/t", frame(("w", 1, "x")).schema
+    tables.upsert_partitions(spark, path, frame(("w1", 1, "a"), ("w2", 1, "a")), ["week", "k"], "week", struct)
+    frame(("w1", 1, "b"), ("w1", 2, "b"), ("w2", 1, "b")).write.parquet(f"{path}__pending")
+    shutil.rmtree(f"{path}/week=w1")
+    tables.upsert_partitions(spark, path, frame(("w2", 3, "c")), ["week", "k"], "week", struct)
+    assert rows(tables.read_table(spark, path, struct).select("week", "k", "v")) == [
+        ("w1", 1, "b"), ("w1", 2, "b"), ("w2", 1, "b"), ("w2", 3, "c")]
+
+
+def test_doubled_updates_do_not_multiply_rows(spark):
+    target, updates = kv(spark, (1, "a")), kv(spark, (1, "b"), (1, "c"), (2, "d"))
+    assert rows(merge.upsert(target, updates, ["k"])) == [(1, "c"), (2, "d")]
+    assert rows(merge.upsert(None, updates, ["k"])) == [(1, "c"), (2, "d")]
+    assert rows(merge.partial_update(target, updates, ["k"])) == [(1, "c")]
