@@ -12,8 +12,9 @@ a shingle ends when its next arrival is later than every register of its documen
    company in all its buckets. Buckets never emit all pairs.
 4. Where members of a bucket are still in different components, those outside of its largest
    component are verified against the rest, so no link between candidates is lost. Only pairs
-   that cannot reach the threshold are left out: shingles that no other open document has
-   bound what two documents share.
+   that cannot reach the threshold are left out: shingles that only documents of one component
+   have bound what two documents of different components share, and one minus the similarity is
+   a metric, so two documents are at least as far apart as their distances to the leader differ.
 
 Texts are shuffled once, for candidates. With 26 bands of 5 rows a pair at similarity 0.8 is
 missed with probability 4e-5.
@@ -39,6 +40,7 @@ from .frames import components, drop_scratch, table, written
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
+MASKS = 8                  # 64-bit words that mark a document's shared shingles
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -139,7 +141,7 @@ def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return float((1.0 / (more / p + less / q)).sum())
 
 
-def _verify(size: int, least: float):
+def _verify(size: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for run in blocks.runs(batches, "text_a"):
@@ -152,52 +154,81 @@ def _verify(size: int, least: float):
                     *_, words, rows = blocks.hashed_words(texts, "t")
                     sides.append((*shingles(words, rows, size), coded.indices.to_numpy()))
                 (x, bx, ix), (y, by, iy) = sides
-                keep = [probability_jaccard(x[bx[i]:bx[i + 1]], y[by[j]:by[j + 1]]) >= least
-                        for i, j in zip(ix, iy)]
-                yield pa.RecordBatch.from_arrays([run.column("a"), run.column("b"), pa.array(keep)],
-                                                 ["a", "b", "linked"])
+                same = [probability_jaccard(x[bx[i]:bx[i + 1]], y[by[j]:by[j + 1]]) for i, j in zip(ix, iy)]
+                yield pa.RecordBatch.from_arrays([run.column("a"), run.column("b"), pa.array(same, pa.float64())],
+                                                 ["a", "b", "same"])
     return verify
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """(a, b, linked) for the pairs; a is the side with fewer distinct values."""
+def _verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(a, b, same) with the exact similarity; a is the side with fewer distinct values."""
     first, second = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
                      for c in "ab")
     return written(pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
-                   .mapInArrow(_verify(size, least), "a long, b long, linked boolean"), "verified")
+                   .mapInArrow(_verify(size), "a long, b long, same double"), "verified")
 
 
-def _room(texts: DataFrame, size: int) -> DataFrame:
-    """doc_id, total shingles, whether none repeats (flat), and how many no other text has (alone)."""
+def _room(texts: DataFrame, comps: DataFrame, size: int) -> DataFrame:
+    """doc_id, total shingles, whether none repeats (flat), and how many only documents of its own
+    component have (alone). comps: doc_id, comp of the open documents."""
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in blocks.runs(batches):
             *_, words, rows = blocks.hashed_words(run)
             distinct, times, row = weigh(*shingles(words, rows, size))
             yield pa.RecordBatch.from_arrays(
-                [run.column("doc_id").take(pa.array(row)), pa.array(distinct.view(np.int64)),
-                 pa.array(times.astype(np.int64))], ["doc_id", "item", "times"])
-
-    rows = written(texts.mapInArrow(items, "doc_id long, item long, times long"), "items")
-    alone = rows.groupBy("item").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"),
-                                     F.min("times").alias("times")).where("n = 1") \
-        .groupBy("doc_id").agg(F.sum("times").alias("alone"))
-    return rows.groupBy("doc_id").agg(F.sum("times").alias("total"), (F.max("times") == 1).alias("flat")) \
-        .join(alone, "doc_id", "left").fillna(0, ["alone"])
+                [run.column("doc_id").take(pa.array(row)), run.column("comp").take(pa.array(row)),
+                 pa.array(distinct.view(np.int64)), pa.array(times.astype(np.int64))],
+                ["doc_id", "comp", "item", "times"])
+
+    rows = written(texts.join(comps, "doc_id").select("doc_id", "comp", "text").mapInArrow(
+        items, "doc_id long, comp long, item long, times long"), "items")
+    own = rows.groupBy("item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo = hi") \
+        .select("item", F.lit(True).alias("own"))
+    rows = rows.join(own, "item", "left").withColumn("bit", F.pmod("item", F.lit(64 * MASKS)))
+    shared = F.col("own").isNull()
+    masks = [F.bit_or(F.when(shared & (F.floor(F.col("bit") / 64) == w),
+                             F.expr("shiftleft(1L, cast(bit % 64 as int))"))).alias(f"m{w}") for w in range(MASKS)]
+    return rows.groupBy("doc_id").agg(
+        F.sum("times").alias("total"), (F.max("times") == 1).alias("flat"),
+        F.sum(F.when(shared, 0).otherwise(F.col("times"))).alias("alone"), *masks) \
+        .fillna(0, [f"m{w}" for w in range(MASKS)])
 
 
 def _bound():
-    """Most that the similarity of x and y can be, given the shingles that only one of them has.
+    """Most that the similarity of x and y can be, given the shingles that the other cannot have.
 
-    For sets it is the common part over the union. With weights P and Q are the shares that may
-    be common: the terms are concave and homogeneous, so they sum to PQ / (P + (1 - P) Q) at most.
+    For sets it is the common part over the union. The common part is at most the number of bits
+    that both masks of shared shingles have, and of the shingles beyond one for each bit, the fewer.
+    With weights P and Q are the shares that may be common: the terms are concave and homogeneous,
+    so they sum to PQ / (P + (1 - P) Q) at most.
     """
     nx, ny, ux, uy = (F.col(c) for c in ("nx", "ny", "ux", "uy"))
-    common = F.least(nx - ux, ny - uy)
+    masks = [(F.col(f"m{w}x"), F.col(f"m{w}y")) for w in range(MASKS)]
+    bits = (lambda of: sum((F.bit_count(of(x, y)) for x, y in masks), F.lit(0)))
+    both, of_x, of_y = bits(lambda x, y: x.bitwiseAND(y)), bits(lambda x, y: x), bits(lambda x, y: y)
+    common = F.least(nx - ux, ny - uy, both + F.least(nx - ux - of_x, ny - uy - of_y))
     p, q = 1 - ux / nx, 1 - uy / ny
     weighted = F.least(p * q / (p + (1 - p) * q), p * q / (q + (1 - q) * p))
     return F.when(F.col("fx") & F.col("fy"), common / (nx + ny - common)).otherwise(weighted)
 
 
+def _open(member: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows (key, doc_id, ...) of buckets with several components, with comp and the bucket's largest
+    component (most)."""
+    member = member.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
+        .withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
+    sizes = member.groupBy("key", "comp").count()
+    most = sizes.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("count", "comp")).alias("m")) \
+        .where("n > 1").select("key", F.col("m.comp").alias("most"))
+    return written(member.join(most, "key"), "open")
+
+
+def _unseen(pairs: DataFrame, seen: DataFrame) -> DataFrame:
+    """Pairs of neither order among those seen."""
+    order = (lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    return order(pairs).distinct().join(order(seen).distinct(), ["a", "b"], "left_anti")
+
+
 def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS,
             rows_a_band: int = ROWS) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its group of near copies), kept."""
@@ -223,32 +254,29 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
     # the bucket members are all that a later round can ask for
     texts = written(docs.where("doc_id is not null")
                     .join(asked.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    first = _verified(stars, texts, size, least)
-    links = first.where("linked").select("a", "b")
+    first = _verified(stars, texts, size)
+    links = first.where(F.col("same") >= least).select("a", "b")
     found = components(links)
 
     # buckets whose members are not yet in one component
-    member = held.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
-        .select("key", "doc_id", F.coalesce("root", "doc_id").alias("comp"))
-    open_keys = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .where("lo < hi").select("key")
-    member = written(member.join(open_keys, "key"), "open")
-    sizes = member.groupBy("key", "comp").count()
-    most = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("m")) \
-        .select("key", F.col("m.comp").alias("most"))
-    member = member.join(most, "key")
-    room = written(_room(texts.join(member.select("doc_id").distinct(), "doc_id", "left_semi"), size), "room")
-    member = member.join(room.where(1 - F.col("alone") / F.col("total") >= least), "doc_id")
+    member = _open(held.select("key", "doc_id"), found)
+    room = written(_room(texts, member.select("doc_id", "comp").distinct(), size), "room")
+    far = leaders.join(first, "a").select("key", F.col("b").alias("doc_id"), (1 - F.col("same")).alias("far"))
+    member = (member.join(room.where(1 - F.col("alone") / F.col("total") >= least), "doc_id")
+              .join(far, ["key", "doc_id"], "left").fillna(0.0, ["far"])      # the leader is no way from itself
+              .join(linkable.select("doc_id", "bands"), "doc_id"))
     left, right = (member.select("key", F.col("doc_id").alias(d), F.col("comp").alias(f"c{d}"), "most",
                                  F.col("total").alias(f"n{d}"), F.col("alone").alias(f"u{d}"),
-                                 F.col("flat").alias(f"f{d}")) for d in "xy")
+                                 F.col("flat").alias(f"f{d}"), F.col("far").alias(f"d{d}"), F.col("bands").alias(f"b{d}"),
+                                 *(F.col(f"m{w}").alias(f"m{w}{d}") for w in range(MASKS))) for d in "xy")
     left, right = left.where("cx <> most").drop("most"), right
     pairs = (left.join(right, "key").where("cx <> cy and (cy = most or x < y)").where(_bound() >= least)
+             .where(F.abs(F.col("dx") - F.col("dy")) <= 1 - least + 1e-9)
+             .where(F.col("key") == F.get("bx", F.array_position(F.zip_with("bx", "by", lambda p, q: p == q), True)
+                                          .cast("int") - 1))      # the first bucket that both are in
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-    second = _verified(pairs, texts, size, least)
-    more = second.where("linked").select("a", "b")
+    pairs = written(_unseen(pairs, stars), "pairs")
+    more = _verified(pairs, texts, size).where(F.col("same") >= least).select("a", "b")
     merged = found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
     found = components(merged)
     for frame in (texts, held, pairs):

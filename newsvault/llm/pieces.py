@@ -39,7 +39,8 @@ class Pieces:
                  most_pairs: int = 1_000_000):
         self.scores, self.byte_ids, self.merges, self.most_pairs = scores, byte_ids, merges, most_pairs
         self.longest = max(map(len, scores), default=1)
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
 
     @classmethod
     def load(cls, path: str, merges: bool = True) -> Pieces:
@@ -52,13 +53,12 @@ class Pieces:
                    [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], merges)
 
     def _apart(self, left: str, right: str) -> bool:
-        """Whether merging left + right alone ends with just these two pieces."""
-        key = (left, right)
-        known = self.fits.get(key)
-        if known is None:
-            if len(self.fits) > self.most_pairs:
-                self.fits.clear()
-            known = self.fits[key] = self.merge(left + right) == [left, right]
+        """Whether merging left + right alone ends with just these two pieces; kept for later."""
+        self.n_pairs += 1
+        if self.n_pairs > self.most_pairs:
+            self.fits.clear()
+            self.n_pairs = 1
+        known = self.fits.setdefault(left, {})[right] = self.merge(left + right) == [left, right]
         return known
 
     def merge(self, text: str) -> list[str]:
@@ -77,8 +77,8 @@ class Pieces:
 
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
         """Ids of the words; words in order share the work on common prefixes."""
-        scores, apart, longest = self.scores, self._apart, self.longest
-        last: list[tuple[int, str]] = [(0, "")]          # per prefix: where its last piece begins, the piece
+        scores, fits, apart, longest = self.scores, self.fits, self._apart, self.longest
+        begins, pieces = [0], [""]                       # per prefix: where its last piece begins, the piece
         total: list[float] = [0.0]
         before, out = "", []
         for word in words:
@@ -86,33 +86,36 @@ class Pieces:
             same = 0
             while same < n and word[same] == before[same]:
                 same += 1
-            del last[same + 1:], total[same + 1:]
+            del begins[same + 1:], pieces[same + 1:], total[same + 1:]
             for end in range(same + 1, len(word) + 1):
-                best = None
-                for begin in range(max(0, end - longest), end):
+                found, best = -1, None
+                for begin in range(end - longest if end > longest else 0, end):
                     piece = word[begin:end]
-                    got = scores.get(piece)
-                    if got is None:
+                    if piece not in scores:
                         continue
                     if self.merges:
-                        prior = last[begin][1]
-                        if not prior or apart(prior, piece):
-                            best = (begin, piece)
-                            break
-                    else:
-                        value = total[begin] + got[1]
-                        if best is None or value > best[2]:
-                            best = (begin, piece, value)
-                if best is None:                           # no piece: bytes, which nothing merges with
-                    last.append((end - 1, ""))
+                        prior = pieces[begin]
+                        if prior:
+                            known = fits[prior].get(piece) if prior in fits else None
+                            if not (apart(prior, piece) if known is None else known):
+                                continue
+                        found = begin
+                        break
+                    value = total[begin] + scores[piece][1]
+                    if best is None or value > best:
+                        found, best = begin, value
+                if found < 0:                              # no piece: bytes, which nothing merges with
+                    begins.append(end - 1)
+                    pieces.append("")
                     total.append(total[end - 1] - 1e6)
                 else:
-                    last.append(best[:2])
-                    total.append(0.0 if self.merges else best[2])
+                    begins.append(found)
+                    pieces.append(word[found:end])
+                    total.append(best or 0.0)
             before = word
             ids, end = [], len(word)
             while end:
-                begin, piece = last[end]
+                begin, piece = begins[end], pieces[end]
                 if piece:
                     ids.append(scores[piece][0])
                 else:
@@ -147,7 +150,7 @@ def marked(data: np.ndarray, offsets: np.ndarray):
 def _encode(path: str, merges: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Pieces.load(path, merges)
-        words = blocks.WordTable(lambda raw: model.encode([w.replace(" ", MARK) for w in raw]))
+        words = blocks.WordTable(lambda raw: model.encode([w.replace(" ", MARK) for w in raw]), most=700_000)
         for run in blocks.runs(batches, limit=2 * blocks.BLOCK):
             spaced = pc.replace_substring(run.column("text"), MARK, " ")   # a mark is a space
             data, starts, ends, offsets = marked(*blocks.flat(spaced))
