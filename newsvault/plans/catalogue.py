@@ -619,6 +619,20 @@ def article_score(spark, d):
         "doc_id", "is_relevant", "ai_abstract", "outcome")
 
 
+def _letter_scorer():
+    """A plug-in that answers with a fresh index and cannot read some texts."""
+    def scorer(prompts, texts):
+        if (texts.str.len() % 7 == 0).any():
+            raise ValueError("cannot read this")
+        return [f"{len(t)} characters" for t in texts]
+    return scorer
+
+
+def article_score_plugin(spark, d):
+    return enrich.model_responses(_documents(spark, d), _letter_scorer).select(
+        "doc_id", "response", F.col("response_error").isNotNull().alias("failed"))
+
+
 def score_counters(spark, d):
     scored = enrich.score_articles(_documents(spark, d), subjects=DOC_SUBJECTS)
     return scored.groupBy("source").agg(*enrich.outcome_aggregates())
@@ -726,7 +740,7 @@ QUERIES: dict[str, Query] = {
         register_files, update_files, advance_watermarks, reset_watermarks, run_lifecycle,
         seed_dim_scan, table_roundtrip, weekly_partition_upsert, dq_not_null, dq_unique,
         dq_orphans, dq_model, export_order, export_csv, schema_sync, tsv_scan, zip_tsv_scan,
-        tsv_width_check, file_provenance, article_prompt, article_score, score_counters,
+        tsv_width_check, file_provenance, article_prompt, article_score, article_score_plugin, score_counters,
         page_main_text, daily_backfill, stream_vault, stream_weekly_window,
         vault_customer_hub, vault_orders_link, vault_orders_sat)
 }

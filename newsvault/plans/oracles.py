@@ -481,6 +481,10 @@ def statements() -> dict[str, str]:
         "article_score": sql(
             "SELECT doc_id, is_relevant, CASE WHEN is_relevant THEN response END "
             "AS ai_abstract, outcome FROM routed", **_DOC_CTES),
+        "article_score_plugin": sql(
+            "SELECT doc_id, CASE WHEN length(article_text) % 7 <> 0 THEN "
+            "length(article_text) || ' characters' END AS response, "
+            "coalesce(length(article_text) % 7 = 0, false) AS failed FROM doc", **_DOC_CTES),
         "score_counters": sql(
             "SELECT source, count(*) AS scanned, "
             "count(*) FILTER (outcome = 'saved') AS saved, "

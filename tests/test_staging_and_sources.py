@@ -113,3 +113,18 @@ def test_registry(spark):
     registry.add_view("gold", "t", spark.range(3).withColumn("x", F.lit(1)))
     assert registry.table("gold", "t").count() == 3
     assert registry.names() == ["gold.t"]
+
+
+def test_task_functions_travel_by_value(tmp_path):
+    """A worker in another folder, without this package on its path, can load them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    blob = tmp_path / "f.pkl"
+    blob.write_bytes(cloudpickle.dumps(feed_files._unzip_lines))
+    code = f"import pickle; print(callable(pickle.load(open({str(blob)!r}, 'rb'))))"
+    out = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True,
+                         env={"PATH": "/usr/bin:/bin"})
+    assert out.stdout.strip() == "True", out.stderr
