@@ -40,15 +40,6 @@ def new_articles(rows: DataFrame, fact: DataFrame | None) -> DataFrame:
     return insert_if_absent(rows, fact, ["news_hkey"], ["event_datetime"])
 
 
-def country_lookup(hub_country: DataFrame, dim: DataFrame) -> DataFrame:
-    """(country_hkey, country_code, country_name, continent) of the known countries.
-
-    Whether a side is broadcast is left to its size in bytes, as Spark measures it.
-    """
-    wanted = dim.select("country_code", "country_name", "continent")
-    return hub_country.select("country_hkey", "country_code").join(wanted, "country_code")
-
-
 def mentions(link: DataFrame, hub_country: DataFrame, dim: DataFrame,
              co_located: bool = False, articles: DataFrame | None = None) -> DataFrame:
     """(news_hkey, country_name, continent, first_mention) per link row and dimension row.
@@ -66,7 +57,9 @@ def mentions(link: DataFrame, hub_country: DataFrame, dim: DataFrame,
     link = link.select("news_hkey", "country_hkey")
     if articles is not None:
         link = link.join(articles.select("news_hkey").distinct(), "news_hkey", "left_semi")
-    named = (link.join(country_lookup(hub_country, dim), "country_hkey")
+    # One small table after the other: each is broadcast, or not, by its own size in bytes.
+    named = (link.join(hub_country.select("country_hkey", "country_code"), "country_hkey")
+             .join(dim.select("country_code", "country_name", "continent"), "country_code")
              .select("news_hkey", "country_name", "continent", "country_code"))
     same = (Window.partitionBy("news_hkey", "country_name", "continent")
             .orderBy("country_code"))

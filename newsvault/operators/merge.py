@@ -26,10 +26,15 @@ def one_per_key(src: DataFrame, keys: list[str], order_by: list[str] | None = No
 def unseen(src: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:
     """Rows whose key is not in the target.
 
-    An anti join, not NOT IN: vault keys are hashes of non-null ids, and NOT IN over
-    several columns would compare every pair of rows.
+    The target is first reduced to the keys of the source: for a small batch Spark broadcasts those
+    keys and reads the target's key columns in place, so a load does not shuffle all of history.
+    Then an anti join, not NOT IN: vault keys are hashes of non-null ids, and NOT IN over several
+    columns would compare every pair of rows.
     """
-    return src if target is None else src.join(target.select(*keys), keys, "left_anti")
+    if target is None:
+        return src
+    known = target.select(*keys).join(src.select(*keys).distinct(), keys, "left_semi")
+    return src.join(known, keys, "left_anti")
 
 
 def insert_if_absent(src: DataFrame, target: DataFrame | None, keys: list[str],
