@@ -5,7 +5,7 @@ smaller doc_id. Every such string holds an anchor: the smallest hash of its 16-b
 Neighbouring strings with one anchor form a stretch, so equal strings lie in stretches of equal
 anchors, and shards made by anchor see all of them.
 
-1. Blocks of text tell the shards which anchors they hold (six bytes each, once a block); a
+1. Blocks of text tell the shards which anchors they hold (five bytes each, once a block); a
    shard answers with a bit for those held by several documents. Only stretches of these go on.
 2. Equal stretches of a block are sent once, with the smallest doc_id. A shard settles equal
    stretches by a grouped minimum. Where one anchor has different stretches, suffix arrays
@@ -13,7 +13,7 @@ anchors, and shards made by anchor see all of them.
    equal strings; sub-shards that share an anchor are merged by binary search.
 3. The answer is a bit for each string of a stretch; blocks turn those into byte ranges.
 
-An anchor in more than ``HOT`` blocks is split: its strings go out singly, keyed by their own
+An anchor of more than ``HOT`` stretches is split: its strings go out singly, keyed by their own
 hash, so no shard gathers a common phrase. Texts are shuffled twice, to meet the two answers.
 
 Defined results: null and empty texts have no bytes; rows with null doc_id neither lose bytes
@@ -41,9 +41,10 @@ from .frames import drop_scratch, table, written
 LENGTH = 50
 ANCHOR = 16
 MOST = 128                 # strings in a stretch
-HOT = 256                  # blocks that hold an anchor before it is split
-SHARD_BYTES = 16 << 20     # text for each shard of anchors
+HOT = 50_000               # stretches with one anchor before it is split
+SHARD_BYTES = 4 << 20      # text for each shard of anchors
 SUB_SHARD = 1 << 20        # bytes under one suffix array
+KEY = 5                    # bytes of an anchor, beside those its shard tells; a clash only adds a check
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,7 +148,7 @@ def _strings(content: np.ndarray, begin: np.ndarray, count: np.ndarray, doc: np.
 
 def _keys(text: np.ndarray, lead: np.ndarray, length: int) -> np.ndarray:
     raw = np.ones((len(lead), length + 1), np.uint8)                 # a last byte that is not zero
-    raw[:, :length] = text[lead[:, None] + np.arange(length)]
+    raw[:, :length] = np.lib.stride_tricks.sliding_window_view(text, length)[lead]
     return raw.view(f"S{length + 1}").ravel()
 
 
@@ -163,27 +164,23 @@ def repeated_strings(anchor: np.ndarray, content: np.ndarray, begin: np.ndarray,
         cut.append(i)
     parts = [(a, b, *_strings(content, begin[a:b], count[a:b], doc[a:b], length))
              for a, b in zip(cut[:-1], cut[1:])]
-    keys = {}
-    k = 0
-    while k + 1 < len(parts):
-        last = k
-        while last + 1 < len(parts) and anchor[parts[last][1] - 1] == anchor[parts[last + 1][0]]:
-            last += 1
-        if last > k:
-            for x in range(k, last + 1):
-                keys[x] = _keys(parts[x][4], parts[x][5], length)
-            merged, least = keys[k], parts[k][3].copy()
-            for x in range(k + 1, last + 1):
-                at = np.searchsorted(merged, keys[x])
-                hit = at < len(merged)
-                hit[hit] = merged[at[hit]] == keys[x][hit]
-                np.minimum.at(least, at[hit], parts[x][3][hit])
-                merged = np.insert(merged, at[~hit], keys[x][~hit])
-                least = np.insert(least, at[~hit], parts[x][3][~hit])
-            for x in range(k, last + 1):
-                at = np.searchsorted(merged, keys[x])
-                parts[x] = (*parts[x][:3], least[at], *parts[x][4:])
-        k = last + 1 if last > k else k + 1
+    for shared in {anchor[y[0]] for x, y in zip(parts[:-1], parts[1:]) if anchor[x[1] - 1] == anchor[y[0]]}:
+        held = []                          # the ordered strings of this anchor in each part that has it
+        for a, b, of, least, text, lead in parts:
+            if anchor[a] <= shared <= anchor[b - 1]:
+                owner = np.empty(len(least), anchor.dtype)
+                owner[of] = np.repeat(anchor[a:b], count[a:b])
+                mine = np.flatnonzero(owner == shared)
+                held.append((_keys(text, lead[mine], length), least, mine))
+        merged, low = held[0][0], held[0][1][held[0][2]]
+        for keys, least, mine in held[1:]:
+            at = np.searchsorted(merged, keys)
+            hit = at < len(merged)
+            hit[hit] = merged[at[hit]] == keys[hit]
+            np.minimum.at(low, at[hit], least[mine][hit])
+            merged, low = np.insert(merged, at[~hit], keys[~hit]), np.insert(low, at[~hit], least[mine][~hit])
+        for keys, least, mine in held:
+            least[mine] = low[np.searchsorted(merged, keys)]
     if not parts:
         return np.zeros(0, bool)
     return np.concatenate([least[of] < np.repeat(doc[a:b], count[a:b])
@@ -192,6 +189,17 @@ def repeated_strings(anchor: np.ndarray, content: np.ndarray, begin: np.ndarray,
 
 # ---------------------------------------------------------------- blocks of text
 
+def _small(values: np.ndarray) -> bytes:
+    """Compressed bytes of an array, with their number in front."""
+    raw = np.ascontiguousarray(values).tobytes()
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def _large(raw: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(pa.decompress(raw[8:], size, codec="zstd", asbytes=True) if size else b"", kind)
+
+
 def stretches(data: np.ndarray, offsets: np.ndarray, length: int, piece: int):
     """Runs of neighbouring strings with one anchor: row, start, number of strings, anchor."""
     n = len(data) - length + 1
@@ -218,7 +226,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, piece: int):
     sub = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
     begin = np.repeat(begin, parts) + sub * MOST
     count = np.minimum(np.repeat(count, parts) - sub * MOST, MOST)
-    return row[begin], begin, count, low[begin]
+    # smallest hashes lie near zero: mixing once more spreads them over the shards
+    return row[begin], begin, count, blocks.mix(low[begin] ^ _A)
 
 
 def _blocks(batches, limit: int, length: int) -> Iterator[dict]:
@@ -253,7 +262,8 @@ def _tell(bits: int, limit: int, length: int, piece: int):
             np.minimum.at(low, inverse, doc)
             np.maximum.at(high, inverse, doc)
             several = low < high
-            raw = (distinct << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            times = np.minimum(np.bincount(inverse, minlength=len(distinct)), 65_535).astype(np.uint16)
+            raw = (distinct << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :KEY]
             cut = np.searchsorted(distinct, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
                                   if bits else np.zeros(1, np.uint64))
             cut = np.r_[cut, len(distinct)]
@@ -261,8 +271,9 @@ def _tell(bits: int, limit: int, length: int, piece: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(have.astype(np.int32)), pa.array(np.full(len(have), b["block"])),
                  pa.array([raw[cut[s]:cut[s + 1]].tobytes() for s in have], pa.binary()),
-                 pa.array([np.packbits(several[cut[s]:cut[s + 1]]).tobytes() for s in have], pa.binary())],
-                ["shard", "block", "anchors", "several"])
+                 pa.array([np.packbits(several[cut[s]:cut[s + 1]]).tobytes() for s in have], pa.binary()),
+                 pa.array([_small(times[cut[s]:cut[s + 1]]) for s in have], pa.binary())],
+                ["shard", "block", "anchors", "several", "times"])
     return tell
 
 
@@ -272,9 +283,9 @@ def _unpack(raw: bytes, n: int) -> np.ndarray:
 
 def _answer_anchors(hot: int):
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        sizes = rows.anchors.map(len).to_numpy() // 6
+        sizes = rows.anchors.map(len).to_numpy() // KEY
         raw = np.zeros((sizes.sum(), 8), np.uint8)
-        raw[:, :6] = np.frombuffer(b"".join(rows.anchors), np.uint8).reshape(-1, 6)
+        raw[:, :KEY] = np.frombuffer(b"".join(rows.anchors), np.uint8).reshape(-1, KEY)
         key = raw.view(">u8").ravel().astype(np.uint64)
         several = np.concatenate([_unpack(s, n) for s, n in zip(rows.several, sizes)])
         order = np.argsort(key, kind="stable")
@@ -282,8 +293,9 @@ def _answer_anchors(hot: int):
         group = np.empty(len(key), np.int64)
         group[order] = np.cumsum(first) - 1
         held = np.bincount(group)
+        times = np.bincount(group, np.concatenate([_large(x, np.uint16) for x in rows.times]))
         wanted = (held > 1) | (np.bincount(group, several) > 0)
-        shared, many = wanted[group], (held > hot)[group]
+        shared, many = wanted[group], (times > hot)[group]
         cut = np.r_[0, np.cumsum(sizes)]
         return pd.DataFrame({
             "block": rows.block.to_numpy(), "shard": rows.shard.to_numpy(), "n": sizes,
@@ -296,14 +308,14 @@ def _pack_blocks(limit: int, length: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _blocks(batches, limit, length):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b["block"]]), *(pa.array([b[c].astype(t).tobytes()], pa.binary()) for c, t in
+                [pa.array([b["block"]]), *(pa.array([_small(b[c].astype(t))], pa.binary()) for c, t in
                                            (("doc", "i8"), ("row_key", "i8"), ("base", "i8"), ("offsets", "i8"),
                                             ("data", "u1")))],
                 ["block", "doc", "row_key", "base", "offsets", "data"])
     return pack
 
 
-_SENT = ("shard int, block long, anchor binary, code binary, doc binary, n binary, content binary, "
+_SENT = ("shard int, block long, anchor binary, doc binary, n binary, content binary, "
          "entry binary, row binary, start binary, row_doc binary, row_key binary")
 
 
@@ -315,9 +327,8 @@ def _send(bits: int, length: int, piece: int):
         for batch in batches:
             for k in range(batch.num_rows):
                 r = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
-                data = np.frombuffer(r["data"], np.uint8)
-                doc, key, base, offsets = (np.frombuffer(r[c], np.int64)
-                                           for c in ("doc", "row_key", "base", "offsets"))
+                data = _large(r["data"], np.uint8)
+                doc, base, offsets = (_large(r[c], np.int64) for c in ("doc", "base", "offsets"))
                 row, begin, count, anchor = stretches(data, offsets, length, piece)
                 distinct, inverse = np.unique(anchor, return_inverse=True)
                 told = sorted(r["told"], key=lambda x: x["shard"])
@@ -348,13 +359,13 @@ def _send(bits: int, length: int, piece: int):
                     np.zeros(len(lead), np.int64)
                 have, cut = np.unique(shard, return_index=True)
                 cut = np.r_[cut, len(lead)]
-                a, c, d, n = anchor[lead], code[lead], doc[row[lead]], count[lead].astype(np.uint8)
-                out = [dict(zip(names, (int(s), r["block"], a[i:j].tobytes(), c[i:j].tobytes(), d[i:j].tobytes(),
-                                        n[i:j].tobytes(), content[ends[i]:ends[j]].tobytes())))
+                a, d, n = anchor[lead], doc[row[lead]], count[lead].astype(np.uint8)
+                out = [dict(zip(names, (int(s), r["block"], a[i:j].tobytes(), _small(d[i:j]), _small(n[i:j]),
+                                        _small(content[ends[i]:ends[j]]))))
                        for s, i, j in zip(have, cut[:-1], cut[1:])]
-                out.append({"shard": -1, "block": r["block"], "n": n.tobytes(), "doc": d.tobytes(),
-                            "entry": entry.astype(np.uint32).tobytes(), "row": row.astype(np.uint32).tobytes(),
-                            "start": (begin - offsets[row] + base[row]).astype(np.int64).tobytes(),
+                out.append({"shard": -1, "block": r["block"], "n": _small(n), "doc": _small(d),
+                            "entry": _small(entry.astype(np.uint32)), "row": _small(row.astype(np.uint32)),
+                            "start": _small((begin - offsets[row] + base[row]).astype(np.int64)),
                             "row_doc": r["doc"], "row_key": r["row_key"]})
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
@@ -363,15 +374,27 @@ def _send(bits: int, length: int, piece: int):
     return send
 
 
+_ANSWER = ("shard int, block long, bits binary, n long, entry binary, row binary, start binary, doc binary, "
+           "counts binary, row_doc binary, row_key binary")
+
+
 def _answer_stretches(length: int, limit: int):
-    """A bit for each string of the stretches that blocks sent to one shard."""
+    """A bit for each string of the stretches that blocks sent to one shard. The rows with a
+    block's occurrences come through as they are."""
+    names = [x.split()[0] for x in _ANSWER.split(", ")]
+
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        sizes = rows.n.map(len).to_numpy()
-        anchor, code = (np.frombuffer(b"".join(rows[c]), np.uint64) for c in ("anchor", "code"))
-        doc, count = np.frombuffer(b"".join(rows.doc), np.int64), \
-            np.frombuffer(b"".join(rows.n), np.uint8).astype(np.int64)
-        content = np.frombuffer(b"".join(rows.content), np.uint8)
-        begin = np.cumsum(count + length - 1) - (count + length - 1)
+        if rows.shard.iloc[0] < 0:
+            return rows.assign(counts=rows.n, n=0, bits=None)[names]
+        counts = [_large(x, np.uint8) for x in rows.n]
+        sizes = [len(x) for x in counts]
+        anchor = np.frombuffer(b"".join(rows.anchor), np.uint64)
+        doc = np.concatenate([_large(x, np.int64) for x in rows.doc])
+        count = np.concatenate(counts).astype(np.int64)
+        content = np.concatenate([_large(x, np.uint8) for x in rows.content])
+        end = np.cumsum(count + length - 1)
+        begin = end - (count + length - 1)
+        code = blocks.hash_spans(content, begin, end)
         order = np.lexsort((doc, code, anchor))
         new = np.r_[True, (anchor[order][1:] != anchor[order][:-1]) | (code[order][1:] != code[order][:-1])]
         kind = np.empty(len(order), np.int64)
@@ -392,7 +415,8 @@ def _answer_stretches(length: int, limit: int):
         cut = np.r_[0, np.cumsum(count)][np.r_[0, np.cumsum(sizes)]]
         return pd.DataFrame({"block": rows.block.to_numpy(), "shard": rows.shard.to_numpy(),
                              "bits": [np.packbits(matched[i:j]).tobytes() for i, j in zip(cut[:-1], cut[1:])],
-                             "n": np.diff(cut)})
+                             "n": np.diff(cut)}).reindex(columns=names).astype({c: object for c in names[4:]}) \
+            .where(lambda x: x.notna(), None)
     return answer
 
 
@@ -403,10 +427,10 @@ def _ranges(length: int):
             for k in range(batch.num_rows):
                 r = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 bits = np.concatenate([_unpack(x["bits"], x["n"]) for x in sorted(r["told"], key=lambda x: x["shard"])])
-                count = np.frombuffer(r["n"], np.uint8).astype(np.int64)
-                least = np.frombuffer(r["doc"], np.int64)
-                entry, row = (np.frombuffer(r[c], np.uint32).astype(np.int64) for c in ("entry", "row"))
-                start, row_doc, row_key = (np.frombuffer(r[c], np.int64) for c in ("start", "row_doc", "row_key"))
+                count = _large(r["counts"], np.uint8).astype(np.int64)
+                entry, row = (_large(r[c], np.uint32).astype(np.int64) for c in ("entry", "row"))
+                start, least, row_doc, row_key = (_large(r[c], np.int64)
+                                                  for c in ("start", "doc", "row_doc", "row_key"))
                 n = count[entry]
                 step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 hit = bits[np.repeat((np.cumsum(count) - count)[entry], n) + step] \
@@ -469,24 +493,22 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, block: int = blocks.BL
     total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = max(0, int(total // shard_bytes).bit_length())
     told = source.mapInArrow(_tell(bits, block, length, ANCHOR),
-                             "shard int, block long, anchors binary, several binary")
+                             "shard int, block long, anchors binary, several binary, times binary")
     told = written(told.groupBy("shard").applyInPandas(
         _answer_anchors(hot), "block long, shard int, n int, shared binary, hot binary"), "anchors")
     told = told.groupBy("block").agg(F.collect_list(F.struct("shard", "n", "shared", "hot")).alias("told"))
     packed = source.mapInArrow(_pack_blocks(block, length), "block long, doc binary, row_key binary, "
                                "base binary, offsets binary, data binary")
-    sent = written(packed.join(told, "block").mapInArrow(_send(bits, length, ANCHOR), _SENT), "stretches")
+    sent = packed.join(told, "block").mapInArrow(_send(bits, length, ANCHOR), _SENT)
+    answers = written(sent.groupBy("shard", F.when(F.col("shard") < 0, F.col("block")).alias("own"))
+                      .applyInPandas(_answer_stretches(length, sub_shard), _ANSWER), "answers")
+    del sent, packed
     _release(spark)
-    bits_of = sent.where("shard >= 0").select("shard", "block", "anchor", "code", "doc", "n", "content") \
-        .groupBy("shard").applyInPandas(_answer_stretches(length, sub_shard),
-                                        "block long, shard int, bits binary, n int")
-    bits_of = written(bits_of, "bits").groupBy("block").agg(
+    bits_of = answers.where("shard >= 0").groupBy("block").agg(
         F.collect_list(F.struct("shard", "n", "bits")).alias("told"))
-    found = written(sent.where("shard = -1").select("block", "n", "doc", "entry", "row", "start", "row_doc",
-                                                    "row_key").join(bits_of, "block")
+    found = written(answers.where("shard = -1").drop("shard", "bits", "n").join(bits_of, "block")
                     .mapInArrow(_ranges(length), "doc_id long, row_key long, spans binary"), "ranges")
-    drop_scratch(sent)
-    _release(spark)
+    drop_scratch(answers)
     return found.groupBy("doc_id", "row_key").agg(F.array_distinct(F.collect_list("spans")).alias("spans"))
 
 
