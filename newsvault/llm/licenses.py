@@ -1,8 +1,9 @@
 """License texts in documents: winnowed fingerprints, then banded alignment.
 
 Texts are runs of letters and digits, lower-cased. Templates leave the smallest hash of each
-``WINDOW`` neighbouring shingles of ``SHINGLE`` words in an inverted index; so does a document,
-and what both have proposes places. Hits of one template on about the same diagonal make one
+``WINDOW`` neighbouring shingles of ``SHINGLE`` words in an inverted index, in which every shingle
+of a document is looked up, so that no fingerprint depends on the words around a notice; what
+both have proposes places. Hits of one template on about the same diagonal make one
 candidate, whose longest common subsequence inside a band of ``BAND`` words around that diagonal
 gives coverage, the share of the template's words that are there, and the span.
 
@@ -91,16 +92,27 @@ def words(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, hashes, rows
 
 
-def winnow(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values of the chosen shingles: the smallest of each window, inside rows."""
-    n = len(hashes) - SHINGLE + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _values(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Value and row of the shingle at each place, and whether it lies inside one row."""
+    n = max(len(hashes) - SHINGLE + 1, 0)
     value = np.zeros(n, np.uint64)
     for k in range(SHINGLE):
         value = blocks.mix(value * np.uint64(31) + hashes[k:n + k])
     row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    whole = row[:n] == row[SHINGLE - 1:]
+    return value, row[:n], row[:n] == row[len(row) - n:]
+
+
+def shingles(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of all shingles inside rows."""
+    value, _, whole = _values(hashes, rows)
+    at = np.flatnonzero(whole)
+    return at, value[at]
+
+
+def winnow(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the chosen shingles: the smallest of each window, inside rows."""
+    value, row, whole = _values(hashes, rows)
+    n = len(value)
     chosen = np.zeros(n, bool)
     for d in range(WINDOW):      # chosen if smallest in any window that holds it; also in short rows
         best = whole.copy()
@@ -110,7 +122,7 @@ def winnow(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray
                 there = np.zeros(n, bool)
                 a, b = (slice(shift, None), slice(None, n - shift)) if shift > 0 else \
                     (slice(None, n + shift), slice(-shift, None))
-                there[b] = whole[a] & (row[:n][a] == row[:n][b])
+                there[b] = whole[a] & (row[a] == row[b])
                 less = np.zeros(n, bool)
                 less[b] = value[a] < value[b]
                 best &= ~(there & less)
@@ -199,7 +211,7 @@ def _scan(templates: dict[str, str], least: float, band: int):
         for run in blocks.runs(batches, limit=2 * blocks.BLOCK):
             data, offsets = blocks.flat(run.column("text"))
             starts, ends, hashes, rows = words(data, offsets)
-            places, which, inside = index.hits(*winnow(hashes, rows))
+            places, which, inside = index.hits(*shingles(hashes, rows))
             doc = np.searchsorted(rows, places, "right") - 1
             out = []
             order = np.argsort(doc, kind="stable")

@@ -151,6 +151,16 @@ def test_license_matches(spark):
     assert not licenses.scan(cases.frame(spark, [])).collect()
 
 
+def test_short_notices_inside_any_sentence(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = [(k, f"{word()} {word()} 2020 {word()}. All rights reserved. {word()} {word()} {word()}") for k in range(200)]
+    got = licenses.scan(cases.frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == [(k, "all-rights-reserved") for k in range(200)]
+    text = dict(rows)
+    assert {text[r.doc_id][r.start:r.end] for r in got} == {"All rights reserved"}
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = np.random.default_rng(8)
     for _ in range(50):
