@@ -3,9 +3,10 @@
 Texts are runs of letters and digits, lower-cased. Templates leave the smallest hash of each
 ``WINDOW`` neighbouring shingles of ``SHINGLE`` words in an inverted index, in which every shingle
 of a document is looked up, so that no fingerprint depends on the words around a notice; what
-both have proposes places. Hits of one template on about the same diagonal make one
-candidate, whose longest common subsequence inside a band of ``BAND`` words around that diagonal
-gives coverage, the share of the template's words that are there, and the span.
+both have proposes places. Word-for-word occurrences are taken as they are; around each other
+diagonal with hits, in the gaps between the spans taken, the longest common subsequence inside a
+band of ``BAND`` words gives coverage, the share of the template's words that are there, and the
+span, until no hit is left. So each of many notices in a row has its match.
 
 The index holds the templates only, at most ``MOST_WORDS`` words, so it goes along with the tasks.
 One pass, no shuffle.
@@ -18,6 +19,7 @@ ignored; texts of any length are scanned whole.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,25 +183,77 @@ class Index:
         return np.repeat(at, n), self.which[k], self.place[k]
 
 
+def occurrences(template: np.ndarray, text: np.ndarray, places: np.ndarray, inside: np.ndarray,
+                least: float, band: int) -> list[list[tuple[int, int]]]:
+    """Matched (template, text) places of every occurrence, without overlaps.
+
+    Word-for-word ones are taken first. What hits they leave is aligned, in the gaps between the
+    spans taken, around each of its diagonals until a hit is inside a span or found wanting. Groups
+    of diagonals within ``band`` only set the order: the diagonal with most hits comes first.
+    """
+    n, found, starts, ends = len(template), [], [], []
+    diagonal = places - inside
+    order = np.lexsort((places, diagonal))
+    diagonal, places = diagonal[order], places[order]
+    whole = np.unique(diagonal[(diagonal >= 0) & (diagonal + n <= len(text))])
+    for k in range(n):
+        whole = whole[text[whole + k] == template[k]]
+    for d in whole.tolist():
+        if not ends or d > ends[-1]:
+            starts.append(d)
+            ends.append(d + n - 1)
+            found.append([(k, d + k) for k in range(n)])
+    cuts = np.array(ends, np.int64)
+    at = np.searchsorted(cuts, places)          # a hit of which a word is taken is settled
+    free = np.r_[np.array(starts, np.int64), len(text) + SHINGLE][at] >= places + SHINGLE
+    diagonal, places = diagonal[free].tolist(), places[free].tolist()
+    i = 0
+    while i < len(diagonal):
+        j = bisect_right(diagonal, diagonal[i] + band, i)
+        group = list(zip(diagonal[i:j], places[i:j]))
+        i = j
+        while group:
+            hits: dict = {}                     # hits of each diagonal in each gap
+            for d, place in group:
+                k = bisect_left(ends, place)
+                if k == len(ends) or starts[k] >= place + SHINGLE:
+                    hits.setdefault((d, k), []).append(place)
+            if not hits:
+                break
+            d, k = max(hits, key=lambda h: (len(hits[h]), -h[0], -h[1]))
+            low = max(ends[k - 1] + 1 if k else 0, d - band)
+            high = min(starts[k] if k < len(starts) else len(text), d + n + band)
+            part = text[low:high]
+            common = int(np.isin(template, part).sum())      # no subsequence has more words
+            pairs = align(template, part, d - low, band) if common >= least * n else []
+            if len(pairs) >= least * n:
+                pairs = [(a, b + low) for a, b in pairs]
+                found.append(pairs)
+                starts.insert(k, pairs[0][1])
+                ends.insert(k, pairs[-1][1])
+            else:
+                del hits[d, k]
+            group = [(e, p) for (e, _), ps in hits.items() for p in ps]
+    return found
+
+
 def matches(index: Index, hashes: np.ndarray, places: np.ndarray, which: np.ndarray, inside: np.ndarray,
             least: float, band: int) -> list[tuple[int, float, int, int, int]]:
     """(template, coverage, matched words, first word, last word) in one document."""
     found = []
     for t in np.unique(which):
-        mine = which == t
-        diagonal = np.sort((places - inside)[mine])
-        template = index.templates[t]
-        for group in np.split(diagonal, np.flatnonzero(np.diff(diagonal) > band) + 1):
-            pairs = align(template, hashes, int(np.median(group)), band)
-            if len(pairs) >= least * len(template):
-                first, last = pairs[0][1], pairs[-1][1]
-                tight = len(pairs) / max(len(template), last - first + 1)
-                found.append((len(pairs) * tight, int(t), len(pairs) / len(template), len(pairs), first, last))
-    taken: list[tuple] = []
+        mine, template = which == t, index.templates[t]
+        for pairs in occurrences(template, hashes, places[mine], inside[mine], least, band):
+            first, last = pairs[0][1], pairs[-1][1]
+            tight = len(pairs) / max(len(template), last - first + 1)
+            found.append((len(pairs) * tight, int(t), len(pairs) / len(template), len(pairs), first, last))
+    taken, ends = [], []                    # by start, without overlaps
     for f in sorted(found, key=lambda f: (-f[0], f[4], f[1])):
-        if all(f[5] < g[4] or g[5] < f[4] for g in taken):
-            taken.append(f)
-    return [f[1:] for f in sorted(taken, key=lambda f: f[4])]
+        k = bisect_left(ends, f[4])
+        if k == len(ends) or f[5] < taken[k][0]:
+            taken.insert(k, (f[4], f))
+            ends.insert(k, f[5])
+    return [f[1:] for _, f in taken]
 
 
 SCHEMA = "doc_id long, license string, coverage double, n_matched int, start long, end long"
@@ -218,12 +272,13 @@ def _scan(templates: dict[str, str], least: float, band: int):
             docs, cut = np.unique(doc[order], return_index=True)
             for d, at in zip(docs, np.split(order, cut[1:])):
                 own = slice(rows[d], rows[d + 1])
+                at_byte, at_char = offsets[d], 0                         # matches come by start
                 for t, cover, n, a, b in matches(index, hashes[own], places[at] - rows[d], which[at], inside[at],
                                                  least, band):
                     first, last = starts[own][a], ends[own][b]
-                    head = data[offsets[d]:first]
-                    start = int(((head & 0xC0) != 0x80).sum())       # characters, not bytes
+                    start = at_char + int(((data[at_byte:first] & 0xC0) != 0x80).sum())     # characters, not bytes
                     end = start + int(((data[first:last] & 0xC0) != 0x80).sum())
+                    at_byte, at_char = last, end
                     out.append((int(d), index.names[t], cover, n, start, end))
             if out:
                 d, *rest = map(list, zip(*out))

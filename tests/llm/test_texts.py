@@ -161,6 +161,19 @@ def test_short_notices_inside_any_sentence(spark):
     assert {text[r.doc_id][r.start:r.end] for r in got} == {"All rights reserved"}
 
 
+@pytest.mark.parametrize("notice", ["Released under the MIT License.", "Licensed under CC BY 4.0.", "All rights reserved.",
+                                    "Licensed under the nice CC BY 4.0."])
+def test_every_notice_of_a_row_of_them(spark, notice):
+    counts = (1, 2, 10, 1000)
+    rows = [(n, (notice + " ") * n) for n in counts] + [(7, (notice + " by some one. ") * 7)]
+    got = {}
+    for r in licenses.scan(cases.frame(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.end))
+    for n, text in rows:
+        step = len(text) // n
+        assert sorted(got[n]) == [(k * step, k * step + len(notice) - 1) for k in range(n)]
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = np.random.default_rng(8)
     for _ in range(50):
