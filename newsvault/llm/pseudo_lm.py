@@ -6,9 +6,9 @@ these conditional log-probabilities scores the document.
 
 Words are counted over the whole corpus. The most frequent ones have a symbol each; the others
 share symbols by hash, so the score of a rare word is that of its symbol. The network is trained
-in numpy where the text lies: each task takes every ``STRIDE``-th word of its documents, chosen by
-hash, in small steps, and returns its parameters, which are averaged in a tree, weighted by
-the words taken; ``ROUNDS`` such rounds. Both counts and training words grow with the corpus.
+in numpy where the text lies: in each of ``ROUNDS`` rounds a task takes another ``ROUNDS``-th of the
+words of its documents, chosen by hash, in small steps, and returns its parameters, which are
+averaged in a tree, weighted by the words taken. So every word of the corpus is a target once.
 
 Defined results: null and empty texts have no words and score 0 (per word null); null doc_ids and
 repeated rows each give a row; an empty table gives no rows; extra columns are ignored; texts of
@@ -35,7 +35,7 @@ SHARED = 64                      # symbols that the rarer words share; one more
 KNOWN = SYMBOLS - SHARED - 1
 EDGE = SYMBOLS - 1
 SIDE, WIDTH, HIDDEN = 2, 16, 48
-STRIDE, ROUNDS, STEP, FAN = 16, 2, 256, 32
+ROUNDS, STEP, FAN = 2, 256, 32
 SHAPES = {"e": (SYMBOLS, WIDTH), "w": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "g": (HIDDEN, GROUPS),
           "gb": (GROUPS,), "s": (GROUPS, HIDDEN, GROUPS), "sb": (GROUPS, GROUPS)}
 
@@ -117,26 +117,29 @@ class Trainer:
 
     def step(self, t: np.ndarray, c: np.ndarray) -> None:
         p, n = self.p, len(t)
+        order = np.argsort(t, kind="stable")        # words of a group stand together
+        t, c = t[order], c[order]
         x = p["e"][c].reshape(n, -1)
         h = np.tanh(x @ p["w"] + p["b"])
         group, place, at = t // GROUPS, t % GROUPS, np.arange(n)
         dg = np.exp(_log_softmax(h @ p["g"] + p["gb"]))
         dg[at, group] -= 1
         dg /= n
-        ws = p["s"][group]
-        ds = np.exp(_log_softmax(np.einsum("nh,nhk->nk", h, ws) + p["sb"][group]))
-        ds[at, place] -= 1
-        ds /= n
-        dh = (dg @ p["g"].T + np.einsum("nk,nhk->nh", ds, ws)) * (1 - h * h)
-        grads = {"g": h.T @ dg, "gb": dg.sum(0), "w": x.T @ dh, "b": dh.sum(0),
-                 **{k: np.zeros(SHAPES[k], np.float32) for k in ("s", "sb", "e")}}
-        np.add.at(grads["sb"], group, ds)
-        order = np.argsort(group, kind="stable")
-        cut = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        for k in np.unique(group):
-            rows = order[cut[k]:cut[k + 1]]
-            grads["s"][k] = h[rows].T @ ds[rows]
-        np.add.at(grads["e"], c.ravel(), (dh @ p["w"].T).reshape(-1, WIDTH))
+        dh = dg @ p["g"].T
+        grads = {"g": h.T @ dg, "gb": dg.sum(0), **{k: np.zeros(SHAPES[k], np.float32) for k in ("s", "sb")}}
+        cut = np.searchsorted(group, np.arange(GROUPS + 1))
+        for k in range(GROUPS):
+            rows = slice(cut[k], cut[k + 1])
+            if cut[k] < cut[k + 1]:
+                ds = np.exp(_log_softmax(h[rows] @ p["s"][k] + p["sb"][k]))
+                ds[np.arange(len(ds)), place[rows]] -= 1
+                ds /= n
+                dh[rows] += ds @ p["s"][k].T
+                grads["s"][k], grads["sb"][k] = h[rows].T @ ds, ds.sum(0)
+        dh *= 1 - h * h
+        grads.update(w=x.T @ dh, b=dh.sum(0))
+        dx = (dh @ p["w"].T).reshape(-1, WIDTH)
+        grads["e"] = np.stack([np.bincount(c.ravel(), dx[:, k], SYMBOLS) for k in range(WIDTH)], 1).astype(np.float32)
         for k, g in grads.items():
             self._move(k, g)
         self.n += n
@@ -172,7 +175,13 @@ def vocabulary(docs: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
 
 
-def _learn(known: np.ndarray, start: np.ndarray):
+def targets(hashes: np.ndarray, rows: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """The words that are targets in round ``turn``: each word in one of the rounds."""
+    place = np.arange(len(hashes)) - np.repeat(rows[:-1], np.diff(rows))
+    return np.flatnonzero(blocks.mix(hashes + place.astype(np.uint64)) % np.uint64(rounds) == turn)
+
+
+def _learn(known: np.ndarray, start: np.ndarray, turn: int, rounds: int):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, kept = Trainer(unflatten(start)), []
 
@@ -189,8 +198,7 @@ def _learn(known: np.ndarray, start: np.ndarray):
         for run in blocks.runs(batches):
             *_, hashes, rows = blocks.hashed_words(run)
             ids = symbols(hashes, known)
-            place = np.arange(len(ids)) - np.repeat(rows[:-1], np.diff(rows))
-            pick = np.flatnonzero(blocks.mix(hashes + place.astype(np.uint64)) % np.uint64(STRIDE) == 0)
+            pick = targets(hashes, rows, turn, rounds)
             if len(pick):
                 kept.append((ids[pick], contexts(ids, rows)[pick]))
             steps(STEP)
@@ -214,8 +222,8 @@ def _mean(rows: pd.DataFrame) -> pd.DataFrame:
 def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the frequent words, and the parameters after averaging rounds."""
     known, params = vocabulary(docs), flatten(fresh())
-    for _ in range(rounds):
-        models = written(docs.select("text").mapInArrow(_learn(known, params), "part long, n long, p binary"), "models")
+    for turn in range(rounds):
+        models = written(docs.select("text").mapInArrow(_learn(known, params, turn, rounds), "part long, n long, p binary"), "models")
         last = models.agg(F.max("part")).first()[0]
         while last:
             models = models.groupBy(F.expr(f"part div {FAN}").alias("g")).applyInPandas(

@@ -242,6 +242,32 @@ def test_log_probs_equal_a_plain_softmax():
         assert got[k] == pytest.approx(want, abs=1e-4)
 
 
+def test_every_word_is_a_training_target_once(monkeypatch):
+    texts = ["by the staff of the daily news " * 9, "", "a b c"] * 3
+    batch = blocks.pa.RecordBatch.from_arrays([blocks.pa.array(texts)], ["text"])
+    seen = Counter()
+    monkeypatch.setattr(pseudo_lm.Trainer, "step", lambda self, t, c: seen.update(t.tolist()))
+    for turn in range(pseudo_lm.ROUNDS):
+        assert not list(pseudo_lm._learn(np.zeros(0, np.uint64), pseudo_lm.flatten(pseudo_lm.fresh()), turn,
+                                         pseudo_lm.ROUNDS)(iter([batch])))
+    *_, hashes, _ = blocks.hashed_words(batch)
+    assert seen == Counter(pseudo_lm.symbols(hashes, np.zeros(0, np.uint64)).tolist())
+
+
+def test_steps_follow_the_gradient():
+    rng = np.random.default_rng(4)
+    trainer = pseudo_lm.Trainer(pseudo_lm.fresh())
+    t, c = rng.integers(0, 1000, 50), rng.integers(0, 1000, (50, 4))
+    start, grads = {k: v.astype(float) for k, v in trainer.p.items()}, {}
+    trainer._move = lambda k, g: grads.update({k: g})
+    trainer.step(t, c)
+    for k in start:
+        way = rng.normal(size=start[k].shape)
+        up, down = ({**start, k: start[k] + s * 1e-4 * way} for s in (1, -1))
+        slope = -(pseudo_lm.log_probs(up, t, c).mean() - pseudo_lm.log_probs(down, t, c).mean()) / 2e-4
+        assert (grads[k] * way).sum() == pytest.approx(slope, rel=1e-2, abs=1e-4)
+
+
 def test_trained_network_prefers_real_word_order(spark, sf_dir):
     docs = frames.table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", "text")
     text = "the cat sat on the mat and the dog lay on the rug . " * 30
