@@ -44,7 +44,7 @@ from newsvault.sources.calendar import capped, feed_calendar
 from newsvault.sources.feed_files import listed_files, read_zip_lines, split_lines
 from newsvault.streaming.ingest import load_vault
 
-STAGING_MARK = StructType([StructField("last_staged_file_ts", LongType())])
+STAGED_FILES = StructType([StructField("file_ts", LongType()), StructField("content", StringType())])
 FEED_URL = "http://feed.example.com/v2"
 
 
@@ -173,33 +173,42 @@ class Warehouse:
 
     def stage(self, since_file_ts: int | None = None, start_file_ts: int = FEED_START_TS,
               full: bool = False) -> DataFrame:
-        """Bronze to staging, from the last staged feed file on.
+        """Bronze to staging: all feed files that are not staged as they are now.
 
-        Staging is stored by feed file, so a file that is staged again replaces its own rows. The
-        mark moves after the write. ``since_file_ts`` names another mark, for files that were
-        taken late; ``full`` stages all files from ``start_file_ts`` on.
+        A ledger holds each staged file with the names of its bronze parts, which change when it
+        is taken again, so a file that comes late or anew is staged whatever its time. Staging is
+        stored by feed file, so it replaces its own rows. The ledger is written after the rows.
+        ``since_file_ts`` stages all files above a mark and ``full`` all files, from
+        ``start_file_ts`` on.
         """
-        if not path_exists(self.spark, self.path("bronze")):
+        spark, root = self.spark, self.path("bronze")
+        if not path_exists(spark, root):
             return self.table("staging", STAGING)
-        mark = VersionedTable(self.spark, self.path("control/staging_watermark"), STAGING_MARK)
-        if since_file_ts is None and not full:
-            since_file_ts = mark.read().agg(F.max("last_staged_file_ts")).first()[0]
-        bronze = (self.spark.read.schema(_with(RAW27, "file_ts", LongType()))
-                  .option("sep", "\t").option("quote", "").csv(self.path("bronze")))
-        bronze = bronze.where(F.col("file_ts") >= start_file_ts)
+        ledger = VersionedTable(spark, self.path("control/staged_files"), STAGED_FILES)
+        wanted = (listed_files(spark, root, "*.csv")
+                  .select(F.regexp_extract("source_file", r"file_ts=(\d+)/", 1).try_cast("long").alias("file_ts"),
+                          F.regexp_extract("source_file", r"([^/]*)$", 1).alias("part"))
+                  .where(F.col("file_ts") >= start_file_ts).groupBy("file_ts")
+                  .agg(F.sha2(F.array_join(F.sort_array(F.collect_list("part")), "/"), 256).alias("content")))
         if since_file_ts is not None:
-            bronze = bronze.where(F.col("file_ts") > since_file_ts)
-        newest = bronze.agg(F.max("file_ts")).first()[0]
-        if newest is None:
+            wanted = wanted.where(F.col("file_ts") > since_file_ts)
+        elif not full:
+            wanted = wanted.join(ledger.read(), STAGED_FILES.fieldNames(), "left_anti")
+        # Names only, as in _take_files; they are settled before bronze is read.
+        found = [(r.file_ts, r.content) for r in wanted.collect()]
+        if not found:
             return self.table("staging", STAGING)
+        bronze = (spark.read.schema(_with(RAW27, "file_ts", LongType())).option("basePath", root)
+                  .option("sep", "\t").option("quote", "")
+                  .csv([f"{root}/file_ts={ts}" for ts, _ in found]))
         raw = bronze.select(*[c for c in bronze.columns if c.startswith("_c")],
                             F.col("_metadata.file_path").alias("source_file"))
         parsed = staging.parse(raw, self.stamp).withColumn(
             "file_ts", F.regexp_extract("source_file", r"file_ts=(\d+)", 1).cast("long"))
         (parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("file_ts").parquet(self.path("staging")))
-        mark.replace(mark.read().union(self.spark.createDataFrame([(newest,)], STAGING_MARK))
-                     .agg(F.max("last_staged_file_ts").alias("last_staged_file_ts")))
+        done = spark.createDataFrame(found, STAGED_FILES)
+        ledger.replace(ledger.read().join(done, "file_ts", "left_anti").unionByName(done))
         return self.table("staging", STAGING)
 
     def load_vault(self) -> None:

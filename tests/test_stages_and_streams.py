@@ -13,6 +13,7 @@ from newsvault.schemas import (
     HUB_NEWS,
     LINK_NEWS_COUNTRY,
     SAT_NEWS_TONE,
+    STAGING,
     WEEKLY_FACT,
 )
 from newsvault.sinks.tables import read_table
@@ -210,3 +211,24 @@ def test_staging_reads_new_files_of_any_year(spark, tmp_path):
     shutil.rmtree(tmp_path / "house/bronze/file_ts=20261231234500")     # not read again
     assert {r.gkg_record_id for r in house.stage().collect()} == {"a", "b"}
     assert house.stage(full=True).count() == 2
+
+
+def test_files_taken_late_or_again_are_staged(spark, tmp_path, monkeypatch):
+    """A tick that failed once and is taken below the mark comes through run_all, as does a new content."""
+    landed = tmp_path / "landed"
+    land(landed, 20260101000000, article("a", ts="20260101000000", url="u1"))
+    (landed / "20260101001500.gkg.csv.zip").write_bytes(b"")
+    land(landed, 20260101003000, article("c", ts="20260101003000", url="u3"))
+    house = Warehouse(spark, f"{tmp_path}/house", datetime(2026, 1, 1, 0, 35))
+    house.ingest(str(landed), "r1", max_files=3)
+    assert house.stage().count() == 2
+    land(landed, 20260101001500, article("b", ts="20260101001500", url="u2"))
+    for later in ("insights", "weekly", "export", "check"):
+        monkeypatch.setattr(house, later, lambda *_, **__: None)
+    house.run_all(str(landed), "r2", None, None, start_from=20260101001500, max_files=1)
+    assert {r.gkg_record_id for r in house.table("staging", STAGING).collect()} == {"a", "b", "c"}
+    assert house.table("hub_news", HUB_NEWS).count() == 3
+    land(landed, 20260101001500, article("b", ts="20260101001500", url="u2"), article("d", ts="20260101001500", url="u4"))
+    house.ingest(str(landed), "r3", start_from=20260101001500, max_files=1)
+    staged_now = house.stage()
+    assert sorted(r.gkg_record_id for r in staged_now.collect()) == ["a", "b", "c", "d"]
