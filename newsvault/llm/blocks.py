@@ -6,6 +6,8 @@ about ``BLOCK`` bytes, so a task holds a few arrays of that length, whatever the
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from itertools import chain
 
@@ -15,11 +17,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK = 2 << 20
-_MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_MULT), -1, 1 << 64))
+LANES = 1 << 18
+_MULT = np.uint64(0x9E3779B97F4A7C15)
+_SALT = np.uint64(0xD6E8FEB86659FD93)
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_powers: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -51,9 +54,22 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Returns memory that earlier work of this process no longer uses to the system.
+
+    Python workers live on between stages, and would keep what the largest of them once took.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def runs(batches: Iterator[pa.RecordBatch], text: str = "text",
          limit: int = BLOCK) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of text, one row at least."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -64,24 +80,63 @@ def runs(batches: Iterator[pa.RecordBatch], text: str = "text",
             end = min(max(end, row + 1), batch.num_rows)
             yield batch.slice(row, end - row)
             row = end
+    give_back()
 
 
-def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        with np.errstate(over="ignore"):
-            _powers[:] = [np.cumprod(np.r_[np.uint64(1), np.full(n + (n >> 2), m, np.uint64)])
-                          for m in (_MULT, _INVERSE)]
-    return _powers[0], _powers[1]
+def _lanes(padded: np.ndarray, at: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place as a number, without those beyond ``rest``."""
+    every = np.ndarray((len(padded) - 7,), "<u8", buffer=padded, strides=(1,))
+    return every[at] & _MASKS[np.minimum(rest, 8)]
+
+
+def _further(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """For spans of more than eight bytes, in parts of about ``LANES``: the spans, the number of their
+    lanes after the first, and for each such lane its number, its place and the bytes left."""
+    long = np.flatnonzero(sizes > 8)
+    counts = (sizes[long] + 7 >> 3) - 1
+    ends = np.cumsum(counts)
+    i = 0
+    while i < len(long):
+        j = max(int(np.searchsorted(ends, (ends[i - 1] if i else 0) + LANES, "right")), i + 1)
+        n = counts[i:j]
+        k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + 1
+        yield long[i:j], n, k, np.repeat(starts[long[i:j]], n) + 8 * k, np.repeat(sizes[long[i:j]], n) - 8 * k
+        i = j
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans: a polynomial modulo 2**64, then mixed with the length."""
-    up, down = _pow(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]
-               + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """64-bit hashes of byte spans: a sum over lanes of eight bytes, each mixed with its number.
+
+    Every lane at every place counts with a value of its own, so no arrangement of few letters gives
+    equal sums by its structure, as it would in a polynomial modulo a power of two.
+    """
+    padded, sizes = np.r_[data, np.zeros(8, np.uint8)], ends - starts
+    out = mix(_lanes(padded, starts, sizes) ^ _SALT)
+    for span, n, k, at, rest in _further(starts, sizes):
+        salt = mix(k.astype(np.uint64) * _MULT) ^ _SALT
+        out[span] += np.add.reduceat(mix(_lanes(padded, at, rest) ^ salt), np.cumsum(n) - n)
+    return mix(out + sizes.astype(np.uint64) * _MULT)
+
+
+def equal_spans(a: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray, b: np.ndarray,
+                b_starts: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """Whether the spans of two arrays hold the same bytes, pair by pair."""
+    a, b = (np.r_[x, np.zeros(8, np.uint8)] for x in (a, b))
+    sizes = a_ends - a_starts
+    same = sizes == b_ends - b_starts
+    same &= _lanes(a, a_starts, sizes) == _lanes(b, b_starts, b_ends - b_starts)
+    for span, n, k, at, rest in _further(a_starts, np.where(same, sizes, 0)):
+        there = np.repeat(b_starts[span], n) + 8 * k
+        same[span] &= np.logical_and.reduceat(_lanes(a, at, rest) == _lanes(b, there, rest), np.cumsum(n) - n)
+    return same
+
+
+def sequence_sums(values: np.ndarray, rows: np.ndarray, salt: np.uint64) -> np.ndarray:
+    """A hash of the sequence of values of each row: each value counts mixed with its place."""
+    place = np.arange(len(values)) - np.repeat(rows[:-1], np.diff(rows))
+    mixed = mix((values ^ salt) + mix(place.astype(np.uint64) * _MULT + salt))
+    total = np.r_[np.uint64(0), np.cumsum(mixed)]
+    return mix(total[rows[1:]] - total[rows[:-1]] + np.diff(rows).astype(np.uint64))
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,51 +186,94 @@ def factorize(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class WordTable:
     """Ids of distinct words, kept over the blocks of a task.
 
-    ``encode`` gets a list of new words and returns their id lists. Beyond ``most`` words the
-    table starts anew, which bounds memory and changes no result.
+    ``encode`` gets a list of new words and returns their id lists. Words are looked up by hash, in
+    sorted arrays, and their bytes are compared, so two words with one hash keep their own ids.
+    Beyond ``most`` bytes the table starts anew, which bounds memory and changes no result.
     """
 
-    def __init__(self, encode, most: int = 400_000):
+    def __init__(self, encode, most: int = 48 << 20):
         self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.begin, self.count, self.used = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)    # sorted by hash
+        self.n, self.used = 0, {"id": 0, "byte": 0}
+        self.flat = {"id": np.zeros(1 << 16, np.uint32), "byte": np.zeros(1 << 16, np.uint8)}
+        # of each slot: where its ids and its bytes begin, and end
+        self.begin = {k: np.zeros(1 << 12, np.int64) for k in self.flat}
+        self.end = {k: np.zeros(1 << 12, np.int64) for k in self.flat}
+
+    def held(self) -> int:
+        return 16 * self.n + sum(x.nbytes for d in (self.flat, self.begin, self.end) for x in d.values())
 
     def ids(self, data, starts, ends, hashes) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each word, and all ids in order."""
-        codes, distinct, first = factorize(hashes)
-        if len(self.slot) + len(distinct) > max(self.most, 2 * len(distinct)):
+        if self.held() > self.most:
             self._clear()
-        get, keys = self.slot.get, distinct.tolist()
-        slots = [get(k, -1) for k in keys]
-        new = [i for i, s in enumerate(slots) if s < 0]
-        if new:
-            at = first[new]
-            raw = data.tobytes()
-            words = [raw[s:e].decode("utf-8", "replace")
-                     for s, e in zip(starts[at].tolist(), ends[at].tolist())]
-            added = self._add(self.encode(words))
-            slots = np.asarray(slots, np.int64)
-            slots[new] = added
-            self.slot.update(zip((keys[i] for i in new), added.tolist()))
-        slots = np.asarray(slots, np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
-        counts = self.count[slots]
+        codes, distinct, first = factorize(hashes)
+        slots = self._slots(data, starts[first], ends[first], distinct)[codes]
+        clash = np.flatnonzero(~equal_spans(data, starts, ends, data, starts[first][codes], ends[first][codes]))
+        if len(clash):
+            slots[clash] = self._apart(data, starts[clash], ends[clash])
+        counts = self.end["id"][slots] - self.begin["id"][slots]
         out = np.cumsum(counts) - counts
-        index = np.repeat(self.begin[slots] - out, counts) + np.arange(counts.sum())
-        return counts, self.flat[index]
-
-    def _add(self, got: list) -> np.ndarray:
-        counts = np.fromiter(map(len, got), np.int64, len(got))
-        n, end = len(self.slot), self.used + int(counts.sum())
-        while n + len(got) > len(self.begin):
-            self.begin, self.count = (np.r_[x, np.zeros_like(x)] for x in (self.begin, self.count))
-        while end > len(self.flat):
-            self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
-        self.flat[self.used:end] = np.fromiter(chain.from_iterable(got), np.uint32, end - self.used)
-        self.begin[n:n + len(got)] = self.used + np.cumsum(counts) - counts
-        self.count[n:n + len(got)] = counts
-        self.used = end
-        return np.arange(n, n + len(got))
+        index = np.repeat(self.begin["id"][slots] - out, counts) + np.arange(counts.sum())
+        return counts, self.flat["id"][index]
+
+    def _slots(self, data, starts, ends, hashes) -> np.ndarray:
+        """Slots of words of different hashes; new words are added."""
+        at = np.searchsorted(self.keys, hashes)
+        known = np.flatnonzero(at < len(self.keys))
+        known = known[self.keys[at[known]] == hashes[known]]
+        slots = np.full(len(hashes), -1, np.int64)
+        slots[known] = self.slots[at[known]]
+        new = np.flatnonzero(slots < 0)
+        if len(known):
+            old = slots[known]
+            bytes_ = self.flat["byte"][:self.used["byte"]]
+            clash = known[~equal_spans(data, starts[known], ends[known], bytes_, self.begin["byte"][old],
+                                       self.end["byte"][old])]
+            if len(clash):
+                slots[clash] = self._apart(data, starts[clash], ends[clash])
+        if len(new):
+            slots[new] = self._add(data, starts[new], ends[new])
+            keys, all_ = np.r_[self.keys, hashes[new]], np.r_[self.slots, slots[new]]
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.slots = keys[order], all_[order]
+        return slots
+
+    def _apart(self, data, starts, ends) -> np.ndarray:
+        """Slots of words whose hash is another word's: by their bytes, for this block only."""
+        of: dict[bytes, int] = {}
+        out = np.empty(len(starts), np.int64)
+        for i, (s, e) in enumerate(zip(starts.tolist(), ends.tolist())):
+            word = data[s:e].tobytes()
+            if word not in of:
+                of[word] = int(self._add(data, starts[i:i + 1], ends[i:i + 1])[0])
+            out[i] = of[word]
+        return out
+
+    def _add(self, data, starts, ends) -> np.ndarray:
+        raw = data.tobytes() if len(starts) > 1 else None
+        words = [raw[s:e] if raw else data[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
+        got = self.encode([w.decode("utf-8", "replace") for w in words])
+        ids = np.fromiter(chain.from_iterable(got), np.uint32)
+        slots = self._put("id", ids, np.fromiter(map(len, got), np.int64, len(got)))
+        self._put("byte", np.frombuffer(b"".join(words), np.uint8), ends - starts)
+        self.n += len(words)
+        return slots
+
+    def _put(self, kind: str, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        n, used = self.n, self.used[kind]
+        while n + len(sizes) > len(self.begin[kind]):
+            for of in (self.begin, self.end):
+                of[kind] = np.r_[of[kind], np.zeros_like(of[kind])]
+        if used + len(values) > len(self.flat[kind]):
+            grown = np.zeros(max(2 * len(self.flat[kind]), used + len(values)), self.flat[kind].dtype)
+            grown[:used] = self.flat[kind][:used]
+            self.flat[kind] = grown
+        self.flat[kind][used:used + len(values)] = values
+        last = used + np.cumsum(sizes)
+        self.begin[kind][n:n + len(sizes)], self.end[kind][n:n + len(sizes)] = last - sizes, last
+        self.used[kind] = used + len(values)
+        return np.arange(n, n + len(sizes))

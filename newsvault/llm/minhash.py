@@ -102,14 +102,7 @@ def _sign(size: int, bands: int, rows_a_band: int):
                 keys += np.arange(1, bands + 1, dtype=np.uint64) * _C
                 for k in range(rows_a_band):
                     keys = blocks.mix(keys * _A + sig.reshape(-1, bands, rows_a_band)[:, :, k])
-                # digest of the word sequence: two polynomials over word hashes
-                up = blocks._pow(len(words) + 1)
-                position = np.arange(len(words)) - np.repeat(rows[:-1], np.diff(rows))
-                sums = []
-                for salt in (_A, _B):
-                    total = np.r_[np.uint64(0), np.cumsum(blocks.mix(words ^ salt) * up[0][position])]
-                    sums.append((total[rows[1:]] - total[rows[:-1]])
-                                + np.diff(rows).astype(np.uint64))
+                sums = [blocks.sequence_sums(words, rows, salt) for salt in (_A, _B)]    # of the word sequence
                 none = np.diff(rows) == 0
                 yield pa.RecordBatch.from_arrays(
                     [run.column("doc_id").cast(pa.int64()),
