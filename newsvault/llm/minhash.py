@@ -21,8 +21,9 @@ missed with probability 4e-5.
 
 Defined results: null texts, and texts without words, link with nothing; a row with null doc_id
 links with nothing, has a null class and is kept; repeated rows come back as often as given,
-all in one class; equal texts take their smallest doc_id; extra columns are ignored; an empty
-table gives no rows; texts of any length are taken whole.
+all in one class; rows of one doc_id with different texts have the links and the class of their own
+text each, and are told apart by row_key; equal texts take their smallest doc_id; extra columns
+are ignored; an empty table gives no rows; texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsvault.operators.numbering import with_position
+
 from . import blocks
 from .frames import components, drop_scratch, table, written
 
@@ -105,12 +108,12 @@ def _sign(size: int, bands: int, rows_a_band: int):
                 sums = [blocks.sequence_sums(words, rows, salt) for salt in (_A, _B)]    # of the word sequence
                 none = np.diff(rows) == 0
                 yield pa.RecordBatch.from_arrays(
-                    [run.column("doc_id").cast(pa.int64()),
+                    [run.column("doc_id").cast(pa.int64()), run.column("row_key"),
                      *(pa.array(x.view(np.int64), mask=none) for x in sums),
                      pa.ListArray.from_arrays(
                          pa.array(np.r_[0, np.cumsum(np.where(none, 0, bands))].astype(np.int32)),
                          pa.array(keys[~none].ravel().view(np.int64)))],
-                    ["doc_id", "d1", "d2", "bands"])
+                    ["doc_id", "row_key", "d1", "d2", "bands"])
     return sign
 
 
@@ -224,16 +227,24 @@ def _unseen(pairs: DataFrame, seen: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS,
             rows_a_band: int = ROWS) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of its group of near copies), kept."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, row_key (hash of doc_id and text), class_id (smallest doc_id of its group of near
+    copies), kept.
+
+    Below, doc_id is the node of a content: the place of its word sequence in the order of its
+    smallest doc_id. So rows of one doc_id with different texts each have their links, and the
+    smallest node of a component is the one with its smallest doc_id.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
     signed = written(docs.mapInArrow(
-        _sign(size, bands, rows_a_band), "doc_id long, d1 long, d2 long, bands array<long>"), "signed")
+        _sign(size, bands, rows_a_band), "doc_id long, row_key long, d1 long, d2 long, bands array<long>"), "signed")
     linkable = signed.where("doc_id is not null and d1 is not null")
-    same = written(linkable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "same")
-    keyed = (linkable.join(same.select(F.col("rep").alias("doc_id"), "d1", "d2"),
-                           ["doc_id", "d1", "d2"], "left_semi")
-             .dropDuplicates(["doc_id"])
-             .select("doc_id", F.explode("bands").alias("key")))
+    same = written(linkable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"),
+                                                    F.min_by("row_key", "doc_id").alias("row_key")), "same")
+    same = written(with_position(same, [F.asc("rep"), F.asc("d1"), F.asc("d2")], "node"), "nodes")
+    leads = same.select("node", F.col("rep").alias("doc_id"), "row_key", "d1", "d2")
+    coded = written(linkable.join(leads, ["doc_id", "row_key", "d1", "d2"])
+                    .select(F.col("node").alias("doc_id"), "bands").dropDuplicates(["doc_id"]), "coded")
+    keyed = coded.select("doc_id", F.explode("bands").alias("key"))
     buckets = (keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     held = written(keyed.join(buckets, "key"), "buckets")
     company = held.groupBy("doc_id").agg(F.sum("n").alias("company"))
@@ -245,8 +256,10 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
                     .select("a", F.col("doc_id").alias("b")).distinct(), "stars")
     asked = stars.select(F.col("b").alias("doc_id")).union(stars.select("a")).distinct()
     # the bucket members are all that a later round can ask for
-    texts = written(docs.where("doc_id is not null")
-                    .join(asked.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    asked = asked.join(leads.select(F.col("node").alias("doc_id"), F.col("doc_id").alias("rep"), "row_key"), "doc_id")
+    texts = written(docs.select(F.col("doc_id").alias("rep"), "row_key", "text")
+                    .join(asked.hint("merge"), ["rep", "row_key"]).select("doc_id", "text")
+                    .dropDuplicates(["doc_id"]), "texts")
     first = _verified(stars, texts, size)
     links = first.where(F.col("same") >= least).select("a", "b")
     found = components(links)
@@ -257,7 +270,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
     far = leaders.join(first, "a").select("key", F.col("b").alias("doc_id"), (1 - F.col("same")).alias("far"))
     member = (member.join(room.where(1 - F.col("alone") / F.col("total") >= least), "doc_id")
               .join(far, ["key", "doc_id"], "left").fillna(0.0, ["far"])      # the leader is no way from itself
-              .join(linkable.select("doc_id", "bands"), "doc_id"))
+              .join(coded, "doc_id"))
     left, right = (member.select("key", F.col("doc_id").alias(d), F.col("comp").alias(f"c{d}"), "most",
                                  F.col("total").alias(f"n{d}"), F.col("alone").alias(f"u{d}"),
                                  F.col("flat").alias(f"f{d}"), F.col("far").alias(f"d{d}"), F.col("bands").alias(f"b{d}"),
@@ -272,15 +285,17 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
     more = _verified(pairs, texts, size).where(F.col("same") >= least).select("a", "b")
     merged = found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
     found = components(merged)
-    for frame in (texts, held, pairs):
+    for frame in (texts, held, pairs, coded):
         drop_scratch(frame)
-    rooted = signed.select("doc_id", "d1", "d2").join(same, ["d1", "d2"], "left") \
-        .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    return rooted.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id"))
+    root = same.select(F.col("node").alias("root"), F.col("rep").alias("class_id"))
+    of_node = found.join(root, "root").select("node", "class_id")
+    rooted = signed.select("doc_id", F.col("row_key").alias("key"), "d1", "d2").join(same.drop("row_key"), ["d1", "d2"], "left") \
+        .join(of_node, "node", "left")
+    return rooted.select("doc_id", F.col("key").alias("row_key"), F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "rep", "doc_id"))
                          .alias("class_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
-    return classes(table(spark, sf_dir, "documents"))
+    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")

@@ -3,8 +3,10 @@
 Each task packs its own pieces best-fit decreasing. Bins that are nearly full are done; an
 underfull bin becomes one item for the next level, where the bins of several tasks meet and
 are packed again, up a tree with fan-in ``FAN``. Only (bin, fill, members) rows move, never
-ids. A group that would hand on more than ``HAND_ON`` bins keeps its fullest ones as they
-are, so every group stays bounded; no piece is lost by that.
+ids. Where a level of the tree would make groups of more than ``MOST`` bins, the bins are dealt by
+hash to as many groups as keep that size, so that each holds bins of every fill, and such
+rounds go on until one merges less than a bin in a thousand, or all that is left fits in one group. Every underfull bin is
+handed on in every round: groups stay bounded and no bin is closed early.
 
 Defined results: a null or empty text is the closing id alone; repeated rows, and repeated or
 null doc_ids, are packed as often as they come; an empty table gives no rows; extra columns
@@ -32,7 +34,7 @@ from .frames import table, written
 CAPACITY = 4096
 NEARLY_FULL = 0.995
 FAN = 8
-HAND_ON = 20_000
+MOST = 50_000
 END_ID = 1
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
           "bin long, at long, grp int")
@@ -154,7 +156,7 @@ def tokenizer_ids(path: str):
 
 def _pieces(batches, table_of: blocks.WordTable, capacity: int):
     """Columns of the pieces of each run of rows: document, piece, start, length, checksum."""
-    for run in blocks.runs(batches, limit=2 * blocks.BLOCK):
+    for run in blocks.runs(batches):
         data, offsets = blocks.flat(run.column("text"))
         n = run.num_rows
         starts, ends, data = chunks(data, offsets)
@@ -177,14 +179,14 @@ def _pieces(batches, table_of: blocks.WordTable, capacity: int):
         closing = np.zeros(begin[-1], bool)
         closing[begin[1:] - 1] = True
         out[~closing] = ids
-        raw = memoryview(out.tobytes())
+        del ids, closing
         cuts = -(-lengths // capacity)
         doc = np.repeat(np.arange(n), cuts)
         piece = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
         start = piece * capacity
         length = np.minimum(lengths[doc] - start, capacity)
         first = begin[doc] + start
-        sums = [zlib.crc32(raw[4 * a:4 * (a + k)]) for a, k in zip(first.tolist(), length.tolist())]
+        sums = [zlib.crc32(out[a:a + k]) for a, k in zip(first.tolist(), length.tolist())]
         yield pa.array(run.column("doc_id")).take(pa.array(doc)), piece, start, length, sums
 
 
@@ -212,7 +214,7 @@ def _local(tokenizer_path: str, capacity: int, nearly_full: float):
     return pack
 
 
-def _level(capacity: int, nearly_full: float, hand_on: int):
+def _level(capacity: int, nearly_full: float):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("bin")
         fills_in, members = rows.fill.tolist(), list(rows.members)
@@ -223,39 +225,42 @@ def _level(capacity: int, nearly_full: float, hand_on: int):
         for i, b in enumerate(bins):
             name[b] = ids[i] if name[b] is None else min(name[b], ids[i])
             merged[b] += [{"bin": m["bin"], "shift": m["shift"] + at[i]} for m in members[i]]
-        open_ = [f < nearly_full * capacity for f in fills]
-        for b in sorted((b for b in range(len(fills)) if open_[b]), key=lambda b: fills[b])[hand_on:]:
-            open_[b] = False
-        return pd.DataFrame({"bin": name, "fill": fills, "grp": grp, "open": open_,
-                             "members": merged})
+        return pd.DataFrame({"bin": name, "fill": fills, "grp": grp,
+                             "open": [f < nearly_full * capacity for f in fills], "members": merged})
     return pack
 
 
+def merge_underfull(level: DataFrame, capacity: int, nearly_full: float, fan: int, most: int) -> DataFrame:
+    """Bins after all rounds, from the tasks' underfull bins (grp: the task)."""
+    done, groups = level.limit(0), (level.agg(F.max("grp")).first()[0] or 0) + 1
+    left, turn = level.count(), 0
+    while left:
+        turn += 1
+        tree, need = -(-groups // fan), -(-left // most)
+        dealt = tree < need
+        key = F.expr(f"pmod(xxhash64(bin, {turn}), {need})") if dealt else F.expr(f"grp div {fan}")
+        groups = need if dealt else tree
+        after = written(level.withColumn("grp", key.cast("int")).groupBy("grp").applyInPandas(
+            _level(capacity, nearly_full), BINS), "bins")
+        if groups == 1:
+            return done.unionAll(after)
+        n = after.count()
+        if dealt and left - n <= left // 1000:       # groups of all fills, and next to no merge
+            return done.unionAll(after)
+        done, level = done.unionAll(after.where("not open")), after.where("open")
+        left = level.count()
+    return done
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
-                   nearly_full: float = NEARLY_FULL, fan: int = FAN,
-                   hand_on: int = HAND_ON) -> DataFrame:
+                   nearly_full: float = NEARLY_FULL, fan: int = FAN, most: int = MOST) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     pieces = written(docs.select("doc_id", "text")
                      .mapInArrow(_local(tokenizer_path, capacity, nearly_full), PIECES), "pieces")
     level = (pieces.where("grp >= 0").groupBy("bin", "grp").agg(F.sum("length").alias("fill"))
              .select("bin", "fill", "grp", F.lit(True).alias("open"),
                      F.array(F.struct("bin", F.lit(0).cast("long").alias("shift"))).alias("members")))
-    level = written(level, "bins")
-    groups = level.agg(F.max("grp")).first()[0]
-    levels = [level]
-    while groups is not None:
-        groups //= fan
-        items = level.where("open").withColumn("grp", F.expr(f"grp div {fan}").cast("int"))
-        level = written(items.groupBy("grp").applyInPandas(
-            _level(capacity, nearly_full, hand_on), BINS), "bins")
-        levels.append(level)
-        if not groups:
-            break
-    done = levels[0].limit(0)
-    for x in levels[1:-1]:
-        done = done.unionAll(x.where("not open"))
-    if len(levels) > 1:
-        done = done.unionAll(levels[-1])
+    done = merge_underfull(written(level, "bins"), capacity, nearly_full, fan, most)
     moved = done.select(F.col("bin").alias("sequence_id"), F.explode("members").alias("m")) \
         .select("sequence_id", F.col("m.bin").alias("bin"), F.col("m.shift").alias("shift"))
     result = (pieces.where("grp >= 0").join(moved, "bin")

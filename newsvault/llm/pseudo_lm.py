@@ -1,23 +1,29 @@
 """Document scores by masked pseudo-likelihood.
 
 A window network predicts every word from the ``SIDE`` words before and after it, never from
-itself: embeddings, one hidden layer, then the word's group and its place in the group. The sum of
-these conditional log-probabilities scores the document.
+itself: embeddings, one hidden layer, then the word's group, its place in the group, and its share of
+that place. The sum of these conditional log-probabilities scores the document.
 
-Words are counted over the whole corpus. The most frequent ones have a symbol each; the others
-share symbols by hash, so the score of a rare word is that of its symbol. The network is trained
-in numpy where the text lies: in each of ``ROUNDS`` rounds a task takes another ``ROUNDS``-th of the
-words of its documents, chosen by hash, in small steps, and returns its parameters, which are
-averaged in a tree, weighted by the words taken. So every word of the corpus is a target once.
+Words are counted over the whole corpus, by hash. The most frequent ones have a symbol each; the
+others share symbols, and a word's share is its count over its symbol's, so every word of the
+corpus, however rare, has a probability of its own and the vocabulary grows with the corpus. Tasks
+hold the shares of the ``LISTED`` most frequent words; those of rarer ones are joined in Spark.
+
+The network is trained in numpy where the text lies: in each of ``ROUNDS`` rounds a task takes
+another ``ROUNDS``-th of the words of its documents, chosen by hash, in small steps, and returns its
+parameters, which are averaged in a tree, weighted by the words taken. So every word of the
+corpus is a target once.
 
 Defined results: null and empty texts have no words and score 0 (per word null); null doc_ids and
 repeated rows each give a row; an empty table gives no rows; extra columns are ignored; texts of
-any length are scored whole, in stretches that see their neighbours' words.
+any length are scored whole, in stretches that see their neighbours' words; a word that the
+corpus does not have counts as one that it has once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,8 +40,9 @@ SYMBOLS = GROUPS * GROUPS
 SHARED = 64                      # symbols that the rarer words share; one more is the edge of a text
 KNOWN = SYMBOLS - SHARED - 1
 EDGE = SYMBOLS - 1
-SIDE, WIDTH, HIDDEN = 2, 16, 48
-ROUNDS, STEP, FAN = 2, 256, 32
+LISTED = 1 << 18                 # words whose shares every task holds, in 12 bytes each
+SIDE, WIDTH, HIDDEN = 2, 16, 32
+ROUNDS, STEP, FAN = 2, 2048, 32
 SHAPES = {"e": (SYMBOLS, WIDTH), "w": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "g": (HIDDEN, GROUPS),
           "gb": (GROUPS,), "s": (GROUPS, HIDDEN, GROUPS), "sb": (GROUPS, GROUPS)}
 
@@ -58,22 +65,29 @@ def unflatten(v: np.ndarray) -> dict:
     return out
 
 
+def _found(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Place of each hash in sorted keys, -1 where it is not there."""
+    at = np.searchsorted(keys, hashes)
+    hit = np.flatnonzero(at < len(keys))
+    hit = hit[keys[at[hit]] == hashes[hit]]
+    out = np.full(len(hashes), -1, np.int64)
+    out[hit] = at[hit]
+    return out
+
+
 def symbols(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Symbol of each word; known: sorted hashes of the frequent words."""
-    at = np.searchsorted(known, hashes)
-    hit = at < len(known)
-    hit[hit] = known[at[hit]] == hashes[hit]
-    return np.where(hit, at, KNOWN + (hashes % np.uint64(SHARED)).astype(np.int64))
-
-
-def contexts(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The SIDE symbols before and after each word; EDGE beyond its text."""
-    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    low, high = rows[:-1][row], rows[1:][row]
-    at = np.arange(len(ids))
-    out = np.empty((len(ids), 2 * SIDE), np.int64)
+    at = _found(known, hashes)
+    return np.where(at >= 0, at, KNOWN + (hashes % np.uint64(SHARED)).astype(np.int64))
+
+
+def contexts(ids: np.ndarray, rows: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """The SIDE symbols before and after each picked word; EDGE beyond its text."""
+    row = np.searchsorted(rows, pick, "right") - 1
+    low, high = rows[row], rows[row + 1]
+    out = np.empty((len(pick), 2 * SIDE), np.int64)
     for k, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        there = at + d
+        there = pick + d
         inside = (there >= low) & (there < high)
         out[:, k] = np.where(inside, ids[np.clip(there, 0, max(len(ids) - 1, 0))], EDGE)
     return out
@@ -85,28 +99,27 @@ def _log_softmax(z):
 
 
 def log_probs(p: dict, ids: np.ndarray, around: np.ndarray, part: int = 8192) -> np.ndarray:
-    """Log-probability of each word given the words around it."""
+    """Log-probability of each symbol given the symbols around it."""
     out = np.empty(len(ids), np.float64)
     for a in range(0, len(ids), part):
-        t, c = ids[a:a + part], around[a:a + part]
+        order = np.argsort(ids[a:a + part], kind="stable")      # words of a group stand together
+        t, c = ids[a:a + part][order], around[a:a + part][order]
         h = np.tanh(p["e"][c].reshape(len(t), -1) @ p["w"] + p["b"])
         group, place = t // GROUPS, t % GROUPS
         lp = _log_softmax(h @ p["g"] + p["gb"])[np.arange(len(t)), group]
-        order = np.argsort(group, kind="stable")
-        cut = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        for k in range(GROUPS):
-            rows = order[cut[k]:cut[k + 1]]
-            if len(rows):
-                z = _log_softmax(h[rows] @ p["s"][k] + p["sb"][k])
-                lp[rows] += z[np.arange(len(rows)), place[rows]]
-        out[a:a + part] = lp
+        cut = np.searchsorted(group, np.arange(GROUPS + 1))
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            rows = slice(cut[k], cut[k + 1])
+            z = _log_softmax(h[rows] @ p["s"][k] + p["sb"][k])
+            lp[rows] += z[np.arange(len(z)), place[rows]]
+        out[a + order] = lp
     return out
 
 
 class Trainer:
     """Adagrad in small steps on one task's words."""
 
-    def __init__(self, p: dict, rate: float = 0.1):
+    def __init__(self, p: dict, rate: float = 0.2):
         self.p = {k: v.copy() for k, v in p.items()}
         self.sums = {k: np.full(v.shape, 1e-2, np.float32) for k, v in p.items()}
         self.rate, self.n = rate, 0
@@ -122,24 +135,29 @@ class Trainer:
         x = p["e"][c].reshape(n, -1)
         h = np.tanh(x @ p["w"] + p["b"])
         group, place, at = t // GROUPS, t % GROUPS, np.arange(n)
-        dg = np.exp(_log_softmax(h @ p["g"] + p["gb"]))
-        dg[at, group] -= 1
-        dg /= n
+
+        def slope(z, chosen):
+            """Gradient of the mean loss by the scores of a softmax."""
+            z = np.exp(z - z.max(1, keepdims=True))
+            z /= z.sum(1, keepdims=True)
+            z[at[:len(z)], chosen] -= 1
+            z /= n
+            return z
+
+        dg = slope(h @ p["g"] + p["gb"], group)
         dh = dg @ p["g"].T
         grads = {"g": h.T @ dg, "gb": dg.sum(0), **{k: np.zeros(SHAPES[k], np.float32) for k in ("s", "sb")}}
         cut = np.searchsorted(group, np.arange(GROUPS + 1))
-        for k in range(GROUPS):
+        for k in np.flatnonzero(np.diff(cut)).tolist():
             rows = slice(cut[k], cut[k + 1])
-            if cut[k] < cut[k + 1]:
-                ds = np.exp(_log_softmax(h[rows] @ p["s"][k] + p["sb"][k]))
-                ds[np.arange(len(ds)), place[rows]] -= 1
-                ds /= n
-                dh[rows] += ds @ p["s"][k].T
-                grads["s"][k], grads["sb"][k] = h[rows].T @ ds, ds.sum(0)
+            ds = slope(h[rows] @ p["s"][k] + p["sb"][k], place[rows])
+            dh[rows] += ds @ p["s"][k].T
+            grads["s"][k], grads["sb"][k] = h[rows].T @ ds, ds.sum(0)
         dh *= 1 - h * h
         grads.update(w=x.T @ dh, b=dh.sum(0))
         dx = (dh @ p["w"].T).reshape(-1, WIDTH)
-        grads["e"] = np.stack([np.bincount(c.ravel(), dx[:, k], SYMBOLS) for k in range(WIDTH)], 1).astype(np.float32)
+        flat = c.ravel()
+        grads["e"] = np.stack([np.bincount(flat, dx[:, k], SYMBOLS) for k in range(WIDTH)], 1).astype(np.float32)
         for k, g in grads.items():
             self._move(k, g)
         self.n += n
@@ -168,11 +186,34 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield send()
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the most frequent words of all documents."""
-    top = docs.select("text").mapInArrow(_count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")) \
-        .orderBy(F.desc("n"), "h").limit(KNOWN).collect()
-    return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
+@dataclass
+class Vocabulary:
+    """Sorted hashes of the words with a symbol of their own, and of the listed others with the
+    logarithms of their shares; the corpus counts of all words; the counts of the shared symbols."""
+
+    known: np.ndarray
+    listed: np.ndarray
+    shares: np.ndarray
+    counts: DataFrame
+    totals: np.ndarray
+
+
+def vocabulary(docs: DataFrame, listed: int = LISTED) -> Vocabulary:
+    """All words of all documents, counted. The driver gets the most frequent ones, of a fixed number."""
+    counts = written(docs.select("text").mapInArrow(_count, "h long, n long").groupBy("h")
+                     .agg(F.sum("n").alias("n")), "counts")
+    top = counts.orderBy(F.desc("n"), "h").limit(KNOWN + listed).toPandas()
+    hashes = top.h.to_numpy(np.int64).view(np.uint64)
+    known, rest = np.sort(hashes[:KNOWN]), hashes[KNOWN:]
+    totals = np.zeros(SHARED, np.int64)
+    place = F.col("h").bitwiseAND(SHARED - 1).cast("int")
+    for r in counts.groupBy(place.alias("place")).agg(F.sum("n").alias("n")).collect():
+        totals[r.place] = r.n
+    np.subtract.at(totals, (hashes[:KNOWN] % np.uint64(SHARED)).astype(np.int64), top.n.to_numpy()[:KNOWN])
+    of = (rest % np.uint64(SHARED)).astype(np.int64)
+    shares = np.log(top.n.to_numpy()[KNOWN:] / np.maximum(totals[of], 1))
+    order = np.argsort(rest)
+    return Vocabulary(known, rest[order], shares[order].astype(np.float32), counts, totals)
 
 
 def targets(hashes: np.ndarray, rows: np.ndarray, turn: int, rounds: int) -> np.ndarray:
@@ -197,10 +238,11 @@ def _learn(known: np.ndarray, start: np.ndarray, turn: int, rounds: int):
 
         for run in blocks.runs(batches):
             *_, hashes, rows = blocks.hashed_words(run)
-            ids = symbols(hashes, known)
+            codes, distinct, _ = blocks.factorize(hashes)
+            ids = symbols(distinct, known)[codes]
             pick = targets(hashes, rows, turn, rounds)
             if len(pick):
-                kept.append((ids[pick], contexts(ids, rows)[pick]))
+                kept.append((ids[pick], contexts(ids, rows, pick)))
             steps(STEP)
         steps(1)
         if trainer.n:
@@ -219,11 +261,12 @@ def _mean(rows: pd.DataFrame) -> pd.DataFrame:
                          "p": [np.asarray(total, np.float32).tobytes()]})
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the frequent words, and the parameters after averaging rounds."""
-    known, params = vocabulary(docs), flatten(fresh())
+def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
+    """The words of the corpus, and the parameters after averaging rounds."""
+    words, params = vocabulary(docs), flatten(fresh())
     for turn in range(rounds):
-        models = written(docs.select("text").mapInArrow(_learn(known, params, turn, rounds), "part long, n long, p binary"), "models")
+        models = written(docs.select("text").mapInArrow(_learn(words.known, params, turn, rounds),
+                                                        "part long, n long, p binary"), "models")
         last = models.agg(F.max("part")).first()[0]
         while last:
             models = models.groupBy(F.expr(f"part div {FAN}").alias("g")).applyInPandas(
@@ -231,28 +274,48 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray
             last //= FAN
         for r in models.collect():          # one row
             params = np.frombuffer(r.p, np.float32)
-    return known, params
+    return words, params
 
 
-def scores(docs: DataFrame, known: np.ndarray, params: np.ndarray) -> DataFrame:
-    """doc_id, n_words, log_prob (sum over words) and log_prob_word (mean, null without words)."""
-    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(known: np.ndarray, listed: np.ndarray, shares: np.ndarray, params: np.ndarray):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = unflatten(params)
         for run in blocks.runs(batches):
             *_, hashes, rows = blocks.hashed_words(run)
-            ids, sums = symbols(hashes, known), np.zeros(run.num_rows)
-            row = np.repeat(np.arange(run.num_rows), np.diff(rows))
-            around = contexts(ids, rows)
+            codes, distinct, _ = blocks.factorize(hashes)
+            own, at = symbols(distinct, known), _found(listed, distinct)
+            share = np.where((own < KNOWN) | (at < 0), 0.0, shares[at] if len(listed) else 0.0)
+            rare = (own >= KNOWN) & (at < 0)                # their shares are not at hand
+            ids, n = own[codes], np.diff(rows)
+            row = np.repeat(np.arange(run.num_rows), n)
+            sums = np.bincount(row, share[codes], run.num_rows).astype(float)    # whole numbers without words
             for a in range(0, len(ids), 1 << 19):
-                part = slice(a, a + (1 << 19))
-                np.add.at(sums, row[part], log_probs(p, ids[part], around[part]))
-            n = np.diff(rows)
-            yield pa.RecordBatch.from_arrays(
-                [run.column("doc_id"), pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1), mask=n == 0)],
-                ["doc_id", "n_words", "log_prob", "log_prob_word"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run_all, "doc_id long, n_words long, log_prob double, log_prob_word double")
+                pick = np.arange(a, min(a + (1 << 19), len(ids)))
+                sums += np.bincount(row[pick], log_probs(p, ids[pick], contexts(ids, rows, pick)), run.num_rows)
+            left = np.flatnonzero(rare[codes])
+            pairs, times = np.unique(np.stack([row[left], codes[left]], 1), axis=0, return_counts=True)
+            bounds = np.searchsorted(pairs[:, 0], np.arange(run.num_rows + 1)).astype(np.int32)
+            tail = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(
+                [pa.array(distinct[pairs[:, 1]].view(np.int64)), pa.array(times.astype(np.int64))], ["h", "n"]))
+            yield pa.RecordBatch.from_arrays([run.column("doc_id"), pa.array(n), pa.array(sums), tail],
+                                             ["doc_id", "n_words", "log_prob", "tail"])
+    return score
+
+
+def scores(docs: DataFrame, words: Vocabulary, params: np.ndarray) -> DataFrame:
+    """doc_id, n_words, log_prob (sum over words) and log_prob_word (mean, null without words)."""
+    scored = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _score(words.known, words.listed, words.shares, params),
+        "doc_id long, n_words long, log_prob double, tail array<struct<h: long, n: long>>")
+        .withColumn("row", F.monotonically_increasing_id()), "scored")
+    totals = F.lit([int(max(t, 1)) for t in words.totals])
+    rare = scored.select("row", F.explode("tail").alias("t")).select("row", "t.h", F.col("t.n").alias("times"))
+    share = F.log(F.coalesce("n", F.lit(1)) / F.get(totals, F.col("h").bitwiseAND(SHARED - 1).cast("int")))
+    more = rare.join(words.counts, "h", "left").groupBy("row").agg(F.sum(F.col("times") * share).alias("more"))
+    whole = F.col("log_prob") + F.coalesce("more", F.lit(0.0))
+    return scored.join(more, "row", "left").select(
+        "doc_id", "n_words", whole.alias("log_prob"),
+        F.when(F.col("n_words") > 0, whole / F.col("n_words")).alias("log_prob_word"))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

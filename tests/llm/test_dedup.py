@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newsvault.llm import frames, grid_join, minhash, suffix_dedup
+from newsvault.llm import blocks, frames, grid_join, minhash, suffix_dedup
 from newsvault.llm.frames import components
 
 from . import cases
@@ -114,6 +114,39 @@ def test_near_copies_of_awkward_texts(spark):
     assert not minhash.classes(cases.frame(spark, [])).collect()
 
 
+def test_texts_of_one_doc_id_each_keep_their_links(spark):
+    base = [f"w{i}" for i in range(100)]
+    one, two = " ".join(base), " ".join(f"v{i}" for i in range(100))
+    rows = [(1, one), (1, two), (5, two + " more"), (9, one + " more"), (7, one), (7, "a text of its own and of no other one")]
+    got = sorted((r.doc_id, r.class_id, r.kept) for r in minhash.classes(cases.frame(spark, rows)).collect())
+    assert got == [(1, 1, True), (1, 1, True), (5, 1, False), (7, 1, False), (7, 7, True), (9, 1, False)]
+
+
+def test_word_sequences_of_one_polynomial_are_not_copies():
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: "b", 98: "a"})
+    ids = np.array([[7, 99][c == "b"] for c in word + word.translate({97: "b", 98: "a"})], np.uint64)
+    sums = {tuple(blocks.sequence_sums(ids, np.array([0, 1024, 2048]), s)) for s in (minhash._A, minhash._B)}
+    assert all(a != b for a, b in sums)
+
+
+def test_recall_against_brute_force(spark):
+    """All links of 1,000 documents, with shingles that repeat, found by their shared shingles."""
+    docs = frames.table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = {i: cases.shingles(t) for i, t in rows}
+    at = {}
+    for i, s in sets.items():
+        for x in s:
+            at.setdefault(x, []).append(i)
+    shared = cases.Counter((a, b) for ids in at.values() if len(ids) < 100 for a in ids for b in ids if a < b)
+    links = [(a, b) for (a, b), n in shared.items() if n >= 0.4 * max(len(sets[a]), len(sets[b]))
+             and cases.probability_jaccard(sets[a], sets[b]) >= 0.8]
+    got = {r.doc_id: r.class_id for r in minhash.classes(docs).collect()}
+    assert len(links) > 50 and sum(got[a] == got[b] for a, b in links) >= 0.99 * len(links)
+
+
 def test_group_of_mutated_copies_is_linked_without_all_pairs(spark):
     rng = np.random.default_rng(4)
     base = [f"w{i}" for i in range(150)]
