@@ -7,6 +7,7 @@ Queries about writes, files and streams put their data below the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,14 @@ from newsvault.functions import (
     keep_if_longer,
     next_tick,
     pg_array_size,
-    round2,
     squish,
     theme_match,
     ts_lit,
     two_decimals,
+    week_start,
 )
-from newsvault.operators import control, enrich, marts, merge, quality, staging, vault
+from newsvault.operators import control, enrich, marts, merge, moments, quality, staging, vault
+from newsvault.operators.numbering import with_position
 from newsvault.plans import event_feed as feed
 from newsvault.plans.feed_drops import write_drop, write_zip_drop
 from newsvault.schemas import (
@@ -43,6 +45,7 @@ from newsvault.sinks import export as exports
 from newsvault.sinks.tables import (
     VersionedTable,
     append_table,
+    drop_path,
     materialize,
     read_or_empty,
     read_table,
@@ -313,171 +316,171 @@ def articles_per_day(spark, d):
 
 # Control ------------------------------------------------------------------------------
 
-def _once(spark, d, name: str, build) -> DataFrame:
-    """A frame that several parts of a query read, written once to the shared folder."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _written:
-        _written[key] = materialize(build(), scratch_path(spark, name))
-    return _written[key]
+class _Control:
+    """Control tables of one query call. What several parts read is written once for the call."""
 
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
 
-_written: dict[tuple, DataFrame] = {}
-
-
-def _ticks(spark, d) -> DataFrame:
-    """Feed files per dataset (the event type): tick, rows, matching rows, damage."""
-    return _once(spark, d, "ticks", lambda: _read_ticks(spark, d))
-
-
-def _read_ticks(spark, d) -> DataFrame:
-    rows = feed.raw_feed(spark, d, ["event_id", "ts", "event_type"])
-    return (rows.groupBy(F.col("event_type").alias("dataset"),
-                         calendar.tick_of(F.col("ts")).alias("tick_at"))
+    @cached_property
+    def ticks(self) -> DataFrame:
+        """Feed files per dataset (the event type): tick, rows, matching rows, damage."""
+        rows = feed.raw_feed(self.spark, self.d, ["event_id", "ts", "event_type"])
+        return self._written("ticks", rows.groupBy(
+            F.col("event_type").alias("dataset"), calendar.tick_of(F.col("ts")).alias("tick_at"))
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count_if(theme_match(F.col("_c8"))).alias("matched_rows"),
                  (F.count_if(F.col("event_id") % 101 == 0) > 0).alias("broken"))
             .withColumn("file_ts", compact_ts(F.col("tick_at"))))
 
-
-def _bounds(ticks: DataFrame) -> DataFrame:
-    return ticks.groupBy("dataset").agg(F.min("tick_at").alias("start_at"),
-                                        F.max("tick_at").alias("end_at"))
-
-
-def _calendar(bounds: DataFrame) -> DataFrame:
-    return calendar.dataset_calendars(
-        bounds.withColumn("end_at", F.col("end_at") + F.expr("INTERVAL 30 MINUTES")))
-
-
-def _outcomes(spark, d) -> DataFrame:
-    return _once(spark, d, "outcomes", lambda: _classify(spark, d))
-
-
-def _classify(spark, d) -> DataFrame:
-    ticks = _ticks(spark, d)
-    bounds = _bounds(ticks)
-    now_ts = bounds.agg(compact_ts(F.max("end_at")).alias("n")).first()["n"]
-    landed = ticks.select("dataset", "file_ts", "matched_rows",
-                          (F.col("n_rows") * 100).alias("bytes"),
-                          F.when(F.col("broken"), "unreadable").alias("error"))
-    return control.classify_files(_calendar(bounds), landed, now_ts)
+    @cached_property
+    def bounds(self) -> DataFrame:
+        return self.ticks.groupBy("dataset").agg(F.min("tick_at").alias("start_at"),
+                                                 F.max("tick_at").alias("end_at"))
+
+    @property
+    def calendar(self) -> DataFrame:
+        return calendar.dataset_calendars(
+            self.bounds.withColumn("end_at", F.col("end_at") + F.expr("INTERVAL 30 MINUTES")))
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        now_ts = self.bounds.agg(compact_ts(F.max("end_at")).alias("n")).first()["n"]
+        landed = self.ticks.select("dataset", "file_ts", "matched_rows",
+                                   (F.col("n_rows") * 100).alias("bytes"),
+                                   F.when(F.col("broken"), "unreadable").alias("error"))
+        return self._written("outcomes", control.classify_files(self.calendar, landed, now_ts))
+
+    @property
+    def files(self) -> DataFrame:
+        new = self.outcomes.select(
+            "dataset", "file_ts", feed_url(F.col("file_ts"), BASE_URL).alias("url"),
+            feed_file_name(F.col("file_ts")).alias("filename"), _run_id().alias("run_id"))
+        ledger = control.register_files(
+            control.empty_control_tables(self.spark)["ingestion_files"], new, _l1())
+        return control.update_files(ledger, self.outcomes.select(
+            "dataset", "file_ts", "status", "bytes", "error_message"), _l1())
+
+    def marks(self, stamp) -> DataFrame:
+        done = control.moves_watermark(self.outcomes).withColumn("run_id", _run_id())
+        empty = control.empty_control_tables(self.spark)["ingestion_watermark"]
+        return control.advance_watermarks(empty, done, stamp)
+
+    def day_marks(self, stamp) -> DataFrame:
+        closed = self.bounds.select(
+            F.col("dataset").alias("process_name"),
+            F.col("end_at").cast("date").alias("last_processed_date"))
+        empty = control.empty_control_tables(self.spark)["ai_insights_watermark"]
+        return control.close_days(empty, closed, stamp)
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, scratch_path(self.spark, name))
 
 
 def _run_id():
     return F.concat(F.lit("run_"), F.col("dataset"))
 
 
-def _files(spark, d) -> DataFrame:
-    outcomes = _outcomes(spark, d)
-    new = outcomes.select(
-        "dataset", "file_ts", feed_url(F.col("file_ts"), BASE_URL).alias("url"),
-        feed_file_name(F.col("file_ts")).alias("filename"), _run_id().alias("run_id"))
-    ledger = control.register_files(
-        control.empty_control_tables(spark)["ingestion_files"], new, _l1())
-    return control.update_files(ledger, outcomes.select(
-        "dataset", "file_ts", "status", "bytes", "error_message"), _l1())
-
-
-def _marks(spark, d, stamp) -> DataFrame:
-    done = control.moves_watermark(_outcomes(spark, d)).withColumn("run_id", _run_id())
-    empty = control.empty_control_tables(spark)["ingestion_watermark"]
-    return control.advance_watermarks(empty, done, stamp)
-
-
 def _priorities(spark, d) -> DataFrame:
     return feed.table(spark, d, "orders").select(F.col("o_orderpriority").alias("dataset")
                                                  ).distinct()
 
 
-def _day_marks(spark, d, stamp) -> DataFrame:
-    closed = _bounds(_ticks(spark, d)).select(
-        F.col("dataset").alias("process_name"),
-        F.col("end_at").cast("date").alias("last_processed_date"))
-    empty = control.empty_control_tables(spark)["ai_insights_watermark"]
-    return control.close_days(empty, closed, stamp)
-
-
 def feed_calendar(spark, d):
-    span = _bounds(_ticks(spark, d)).agg(
+    run = _Control(spark, d)
+    span = run.bounds.agg(
         compact_ts(F.min("start_at")).alias("a"), compact_ts(F.max("end_at")).alias("b")
     ).first()
     return calendar.feed_calendar(spark, span["a"], span["b"], BASE_URL)
 
 
 def next_ticks(spark, d):
-    return _ticks(spark, d).select("dataset", "file_ts",
+    run = _Control(spark, d)
+    return run.ticks.select("dataset", "file_ts",
                                    next_tick(F.col("file_ts")).alias("next_ts"))
 
 
 def feed_gaps(spark, d):
-    ticks = _calendar(_bounds(_ticks(spark, d))).select("dataset", "file_ts")
+    run = _Control(spark, d)
+    ticks = run.calendar.select("dataset", "file_ts")
     # a ledger with holes: some ticks were never taken
-    ledger = _files(spark, d).where("pmod(file_ts div 100, 7) <> 3")
-    return control.feed_gaps(ticks, ledger, _marks(spark, d, _l1()))
+    ledger = run.files.where("pmod(file_ts div 100, 7) <> 3")
+    return control.feed_gaps(ticks, ledger, run.marks(_l1()))
 
 
 def read_watermarks(spark, d):
-    asked = _ticks(spark, d).select("dataset").distinct().unionByName(_priorities(spark, d))
-    return control.last_watermarks(_marks(spark, d, _l1()), asked)
+    run = _Control(spark, d)
+    asked = run.ticks.select("dataset").distinct().unionByName(_priorities(spark, d))
+    return control.last_watermarks(run.marks(_l1()), asked)
 
 
 def resolve_start(spark, d):
-    marks = _ticks(spark, d).select(
+    run = _Control(spark, d)
+    marks = run.ticks.select(
         "dataset", F.col("file_ts").alias("watermark"),
         F.when(F.col("n_rows") > 2, F.lit(20240101000000)).alias("explicit_start"))
     return control.resolve_start(marks, floor=20240120000000)
 
 
 def next_day(spark, d):
-    asked = (_bounds(_ticks(spark, d)).select(F.col("dataset").alias("process_name"))
+    run = _Control(spark, d)
+    asked = (run.bounds.select(F.col("dataset").alias("process_name"))
              .unionByName(_priorities(spark, d).withColumnRenamed("dataset",
                                                                   "process_name")))
-    days = control.next_days(_day_marks(spark, d, _l1()), asked)
+    days = control.next_days(run.day_marks(_l1()), asked)
     return days.withColumn("due", control.is_due(F.col("next_day"), date_lit("2024-01-31")))
 
 
 def close_day(spark, d):
-    older = _day_marks(spark, d, _l1()).withColumn(
+    run = _Control(spark, d)
+    older = run.day_marks(_l1()).withColumn(
         "last_processed_date", F.date_sub("last_processed_date", 1))
-    closed = _bounds(_ticks(spark, d)).select(
+    closed = run.bounds.select(
         F.col("dataset").alias("process_name"),
         F.col("end_at").cast("date").alias("last_processed_date"))
     return control.close_days(older, closed, _l2())
 
 
 def days_behind(spark, d):
-    return control.days_behind_by_process(_day_marks(spark, d, _l1()),
+    run = _Control(spark, d)
+    return control.days_behind_by_process(run.day_marks(_l1()),
                                           date_lit("2024-02-05"))
 
 
 def file_outcomes(spark, d):
-    return _outcomes(spark, d)
+    run = _Control(spark, d)
+    return run.outcomes
 
 
 def run_summary(spark, d):
-    saved = (control.moves_watermark(_outcomes(spark, d))
+    run = _Control(spark, d)
+    saved = (control.moves_watermark(run.outcomes)
              .where("status = 'downloaded'")
              .select("dataset", "file_ts", F.col("matched_rows").alias("rows")))
-    return control.run_summary(_files(spark, d), saved)
+    return control.run_summary(run.files, saved)
 
 
 def files_by_status(spark, d):
-    return control.files_by_status(_files(spark, d), "run_error", "downloaded")
+    run = _Control(spark, d)
+    return control.files_by_status(run.files, "run_error", "downloaded")
 
 
 def batch_cap(spark, d):
-    return calendar.capped(_ticks(spark, d).select("file_ts").distinct(), 96)
+    run = _Control(spark, d)
+    return calendar.capped(run.ticks.select("file_ts").distinct(), 96)
 
 
 def register_files(spark, d):
-    files = _files(spark, d)
+    run = _Control(spark, d)
+    files = run.files
     again = files.select("dataset", "file_ts", "url", "filename",
                          F.lit("rerun").alias("run_id"))
     return control.register_files(files, again, _l2())
 
 
 def update_files(spark, d):
-    files = _files(spark, d)
+    run = _Control(spark, d)
+    files = run.files
     retry = files.where("status = 'failed'").select(
         "dataset", "file_ts", F.lit("downloading").alias("status"),
         F.md5("filename").alias("checksum"))
@@ -485,19 +488,22 @@ def update_files(spark, d):
 
 
 def advance_watermarks(spark, d):
-    older = _marks(spark, d, _l1()).withColumn(
+    run = _Control(spark, d)
+    older = run.marks(_l1()).withColumn(
         "last_successful_file_ts", F.lit(20240101000000))
-    done = control.moves_watermark(_outcomes(spark, d)).withColumn("run_id", _run_id())
+    done = control.moves_watermark(run.outcomes).withColumn("run_id", _run_id())
     return control.advance_watermarks(older, done, _l2(), monotonic=True)
 
 
 def reset_watermarks(spark, d):
-    marks = _marks(spark, d, _l1())
+    run = _Control(spark, d)
+    marks = run.marks(_l1())
     return control.reset_watermarks(marks, marks.where("dataset < 'm'"), _l2())
 
 
 def run_lifecycle(spark, d):
-    files = _files(spark, d)
+    run = _Control(spark, d)
+    files = run.files
     new = files.select("run_id", "dataset").distinct().withColumn(
         "max_files_per_run", F.lit(MAX_FILES_PER_RUN))
     opened = control.open_runs(None, new, _l1())
@@ -689,43 +695,101 @@ def stream_vault(spark, d):
 def stream_weekly_upsert(spark, d):
     base = scratch_path(spark, "stream_weekly")
     dim = feed.dim_country(spark, d)
-    table = VersionedTable(spark, f"{base}/weekly", WEEKLY_FACT)
 
-    def recompute(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
-        usable = materialize(batch, scratch_path(spark, "batch"))
+    def recompute(batch: DataFrame, since) -> DataFrame:
+        scratch = scratch_path(spark, "batch")
+        usable = materialize(batch, scratch)
         stream_ingest.load_vault(spark, usable, f"{base}/vault")
         fact = read_table(spark, f"{base}/fact", ARTICLE_FACT)
         append_table(marts.new_articles(_fact(usable, _l1()), fact), f"{base}/fact")
+        drop_path(spark, scratch)
         return marts.weekly_fact(
             read_table(spark, f"{base}/fact", ARTICLE_FACT),
             read_table(spark, f"{base}/vault/link_news_country", LINK_NEWS_COUNTRY),
-            read_table(spark, f"{base}/vault/hub_country", HUB_COUNTRY), dim, _l1(),
-            marts.increment_start(stored), unique_articles=True)
+            read_table(spark, f"{base}/vault/hub_country", HUB_COUNTRY), dim, _l1(), since,
+            unique_articles=True)
 
     # One run per delivery: each goes on from the checkpoint of the one before.
     for drop in _drops(spark, d):
         write_drop(drop, f"{base}/landed")
         staged = stream_ingest.staged_stream(
             stream_ingest.raw_stream(spark, f"{base}/landed"), _l1())
-        stream_weekly.upsert_each_batch(spark, staged, table, f"{base}/checkpoint",
-                                        recompute)
-    return table.read()
+        stream_weekly.upsert_each_batch(spark, staged, f"{base}/weekly", f"{base}/checkpoint", recompute)
+    return read_table(spark, f"{base}/weekly", WEEKLY_FACT).select(*WEEKLY_FACT.fieldNames())
 
 
-def stream_weekly_window(spark, d):
+_ARTICLE_COLUMNS = ["news_hkey", "event_datetime", "source_domain", "tone_overall"]
+
+
+def _streamed(spark, d, drops: list[DataFrame]) -> stream_weekly.WeeklyStream:
+    """The drops taken one after the other, each by a stream that goes on where the last one ended."""
     base = scratch_path(spark, "stream_window")
-    for drop in _drops(spark, d):
+    weekly = stream_weekly.WeeklyStream(spark, f"{base}/weekly")
+    for drop in drops:
         write_drop(drop, f"{base}/landed")
-        staged = _states(stream_ingest.staged_stream(
-            stream_ingest.raw_stream(spark, f"{base}/landed"), _l1()))
-        weekly = stream_weekly.weekly_window(
-            stream_weekly.drop_repeats(staged, "gkg_record_id", delay="1 day"),
-            ["source_domain"])
-        stream_ingest.run_to_end(weekly, f"{base}/checkpoint",
-                                 lambda batch, _: append_table(batch, f"{base}/weeks"))
-    return spark.read.parquet(f"{base}/weeks").select(
-        "week_date", "source_domain", "article_count",
-        round2(F.col("avg_tone")).alias("avg_tone"))
+        staged = stream_ingest.staged_stream(stream_ingest.raw_stream(spark, f"{base}/landed"), _l1())
+        weekly.run(_states(staged).select(*_ARTICLE_COLUMNS), f"{base}/checkpoint")
+    return weekly
+
+
+def _week_rows(weekly: stream_weekly.WeeklyStream) -> DataFrame:
+    return weekly.weeks().select(
+        "week_date", "source_domain", F.col("n").alias("article_count"), moments.mean().alias("avg_tone"),
+        moments.deviation().alias("stddev_tone"))
+
+
+def stream_weekly_window(spark, d):
+    """Every week of the feed, the open one included."""
+    return _week_rows(_streamed(spark, d, _drops(spark, d)))
+
+
+def stream_repeats(spark, d):
+    """Each delivery brings all older records again, weeks after they were first seen."""
+    edges = ["2024-01-11", "2024-01-21", "9999-01-01"]
+    raw = feed.raw_feed(spark, d, ["ts"])
+    return _week_rows(_streamed(spark, d, [raw.where(F.col("ts") < ts_lit(f"{e} 00:00:00")) for e in edges]))
+
+
+def stream_late_rows(spark, d):
+    """Weeks and late rows where purchases of the first days come with the second delivery only."""
+    raw = feed.raw_feed(spark, d, ["ts", "event_type"])
+    early = (F.col("ts") < ts_lit(feed.SECOND_LOAD_FROM)) & (F.col("event_type") != "purchase")
+    weekly = _streamed(spark, d, [raw.where(early), raw.where(~early)])
+    columns = spark.createDataFrame([], ARTICLE_FACT).select(*_ARTICLE_COLUMNS).schema
+    late = weekly.late(columns).select(
+        week_start(F.col("event_datetime")).alias("week_date"), "source_domain", "tone_overall")
+    counted = [(weekly.weeks().select("week_date", "source_domain", F.col("n").alias("n"), "low"), "on time"),
+               (late.groupBy("week_date", "source_domain").agg(F.count(F.lit(1)).alias("n"),
+                                                              F.min("tone_overall").alias("low")), "late")]
+    return counted[0][0].withColumn("route", F.lit(counted[0][1])).unionByName(
+        counted[1][0].withColumn("route", F.lit(counted[1][1])))
+
+
+def weekly_moments(spark, d):
+    """Source weeks kept as mergeable moments: a second load adds its new articles to stored groups."""
+    base = scratch_path(spark, "moments")
+    keys = ["week_date", "source_domain"]
+
+    def parts(fact: DataFrame) -> DataFrame:
+        rows = fact.select(week_start(F.col("event_datetime")).alias("week_date"), "source_domain", "tone_overall",
+                           "source_url")
+        return moments.moments(rows, keys, "tone_overall", "source_url")
+    first = materialize(_fact(feed.staged_first(spark, d), _l1()), f"{base}/fact")
+    stored = materialize(parts(first), f"{base}/stored")
+    added = parts(marts.new_articles(_fact(feed.staged_second(spark, d), _l2()), first))
+    merged = moments.merged_moments(stored.unionByName(added), keys)
+    exact = F.col("n")                     # every article has a URL of its own
+    return merged.select(
+        *keys, F.col("n").alias("article_count"), moments.mean().alias("avg_tone"),
+        moments.deviation().alias("stddev_tone"), F.col("low").alias("min_tone"), F.col("high").alias("max_tone"),
+        (F.abs(moments.distinct_estimate() - exact) <= 0.07 * exact).alias("sketch_close"))
+
+
+def weekly_ordered(spark, d):
+    """The weekly fact in its own order, with the place of each row."""
+    order = [*exports.sort_columns(exports.WEEKLY_ORDER), F.asc("country_name")]
+    return with_position(_weekly(spark, d), order).select(
+        (F.col("position") + 1).alias("place"), "week_date", "country_name", "article_count", "risk_intensity_score")
 
 
 QUERIES: dict[str, Query] = {
@@ -741,7 +805,8 @@ QUERIES: dict[str, Query] = {
         seed_dim_scan, table_roundtrip, weekly_partition_upsert, dq_not_null, dq_unique,
         dq_orphans, dq_model, export_order, export_csv, schema_sync, tsv_scan, zip_tsv_scan,
         tsv_width_check, file_provenance, article_prompt, article_score, article_score_plugin, score_counters,
-        page_main_text, daily_backfill, stream_vault, stream_weekly_window,
+        page_main_text, daily_backfill, stream_vault, stream_weekly_window, stream_repeats,
+        stream_late_rows, weekly_moments, weekly_ordered,
         vault_customer_hub, vault_orders_link, vault_orders_sat)
 }
 QUERIES.update({

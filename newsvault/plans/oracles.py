@@ -110,6 +110,19 @@ def _weekly(curated: str) -> str:
   FROM {curated} GROUP BY ALL)"""
 
 
+def _source_weeks(fact: str) -> str:
+    """Week x source measures from exact decimal sums, which no order of rows changes."""
+    return f"""SELECT week_date, source_domain, n AS article_count, min_tone, max_tone,
+  round(CAST(total::DOUBLE / n AS DECIMAL(18,3)), 2) AS avg_tone,
+  CASE WHEN n > 1 THEN round(CAST(sqrt(greatest((squares::DOUBLE - total::DOUBLE ** 2 / n) / (n - 1), 0))
+       AS DECIMAL(18,3)), 2) END AS stddev_tone
+ FROM (SELECT date_trunc('week', event_datetime) AS week_date, source_domain, count(*) AS n,
+   min(tone_overall) AS min_tone, max(tone_overall) AS max_tone,
+   sum(CAST(tone_overall AS DECIMAL(18,6))) AS total,
+   sum(CAST(tone_overall AS DECIMAL(18,6)) * CAST(tone_overall AS DECIMAL(18,6))) AS squares
+  FROM {fact} GROUP BY 1, 2)"""
+
+
 def _tick(ts: str) -> str:
     return f"time_bucket(INTERVAL 15 MINUTE, {ts}, TIMESTAMP '2000-01-01')"
 
@@ -457,12 +470,18 @@ def statements() -> dict[str, str]:
  UNION ALL SELECT 'link_news_country', news_country_hkey FROM lnk
  UNION ALL SELECT 'sat_news_tone', hashdiff FROM sat"""),
         "stream_weekly": sql("SELECT * FROM wk"),
-        "stream_weekly_window": sql("""SELECT * FROM (
-  SELECT date_trunc('week', event_datetime) AS week_date, source_domain,
-   count(*) AS article_count,
-   round(CAST(avg(tone_overall) AS DECIMAL(18,3)), 2) AS avg_tone FROM fact GROUP BY 1, 2)
- WHERE week_date + INTERVAL 7 DAY <=
-  (SELECT max(event_datetime) - INTERVAL 1 DAY FROM fact)"""),
+        "stream_weekly_window": sql(f"SELECT week_date, source_domain, article_count, avg_tone, stddev_tone FROM ({_source_weeks('fact')})"),
+        "stream_repeats": sql(f"SELECT week_date, source_domain, article_count, avg_tone, stddev_tone FROM ({_source_weeks('fact')})"),
+        "stream_late_rows": sql(f"""SELECT week_date, source_domain, count(*) AS n, min(tone_overall) AS low,
+  CASE WHEN first OR week_date >= (SELECT max(date_trunc('week', event_datetime)) FROM f1) THEN 'on time'
+       ELSE 'late' END AS route
+ FROM (SELECT fact.*, date_trunc('week', event_datetime) AS week_date,
+         news_hkey IN (SELECT news_hkey FROM f1) AS first FROM fact) GROUP BY ALL""",
+                                early=_parsed(f"(SELECT * FROM {_EARLY})", _L1), f1=_fact("early", _L1)),
+        "weekly_moments": sql(f"""SELECT week_date, source_domain, article_count, avg_tone, stddev_tone,
+  min_tone, max_tone, true AS sketch_close FROM ({_source_weeks('fact')})"""),
+        "weekly_ordered": sql("""SELECT row_number() OVER (ORDER BY week_date DESC, article_count DESC, country_name) AS place,
+  week_date, country_name, article_count, risk_intensity_score FROM wk"""),
         "vault_customer_hub": f"""SELECT md5(CAST(c_custkey AS VARCHAR)) AS customer_hkey,
   c_custkey, {_L1} AS load_datetime, 'crm' AS record_source FROM customer""",
         "vault_orders_link": f"""SELECT DISTINCT

@@ -18,7 +18,7 @@ from newsvault.schemas import (
 )
 from newsvault.sinks.tables import read_table
 from newsvault.streaming import ingest
-from newsvault.streaming.weekly import drop_repeats, not_late
+from newsvault.streaming.weekly import WeeklyStream, drop_repeats, route_late
 from newsvault.functions import ts_lit
 from tests.helpers import DAY1, article, raw, raw_row, rows, staged
 
@@ -158,15 +158,68 @@ def test_repeats_on_a_stream(spark, tmp_path):
     assert sorted(got) == ["a", "b"]
 
 
+ARTICLES = "news_hkey string, event_datetime timestamp_ntz, source_domain string, tone_overall double"
+
+
+def articles(spark, *rows):
+    return spark.createDataFrame([(k, datetime.fromisoformat(t), s, v) for k, t, s, v in rows], ARTICLES)
+
+
+def stored(weekly):
+    return sorted((str(r.week_date)[:10], r.source_domain, r.n, float(r.total), r.low, r.high, r.last_batch)
+                  for r in weekly.weeks().collect())
+
+
 def test_late_rows_of_a_batch(spark):
-    src = staged(spark, article("a", ts="20260105000000"), article("b", ts="20260104235959"))
-    target = spark.sql("SELECT TIMESTAMP_NTZ'2026-01-05 00:00:00' AS week_date")
-    assert [r.gkg_record_id for r in not_late(src, target).collect()] == ["a"]
-    assert not_late(src, None).count() == 2
+    src = articles(spark, ("a", "2026-01-05 00:00:00", "s", 1.0), ("b", "2026-01-04 23:59:59", "s", 1.0))
+    fresh, late = route_late(src, ts_lit("2026-01-05 00:00:00"))
+    assert [r.news_hkey for r in fresh.collect()] == ["a"] and [r.news_hkey for r in late.collect()] == ["b"]
     start = src.select(marts.increment_start(None).alias("s")).first()["s"]
     assert start == datetime(1900, 1, 1)
 
 
+def test_weekly_stream_keeps_open_weeks_late_rows_and_no_repeats(spark, tmp_path):
+    weekly = WeeklyStream(spark, f"{tmp_path}/w")
+    weekly.take(articles(spark, ("a", "2026-01-06 10:00:00", "s", 1.0), ("a", "2026-01-06 09:00:00", "s", 2.0),
+                         ("b", "2026-01-07 10:00:00", "t", -3.5)), 0)
+    assert stored(weekly) == [("2026-01-05", "s", 1, 2.0, 2.0, 2.0, 0), ("2026-01-05", "t", 1, -3.5, -3.5, -3.5, 0)]
+    # the open week grows, a new one begins, a repeat of long ago and a late row come
+    second = articles(spark, ("c", "2026-01-11 23:00:00", "s", 4.0), ("d", "2026-03-02 00:00:00", "s", 5.0),
+                      ("a", "2026-03-02 10:00:00", "s", 9.0), ("e", "2026-01-04 10:00:00", "s", 6.0))
+    weekly.take(second, 1)
+    want = [("2026-01-05", "s", 2, 6.0, 2.0, 4.0, 1), ("2026-01-05", "t", 1, -3.5, -3.5, -3.5, 0),
+            ("2026-03-02", "s", 1, 5.0, 5.0, 5.0, 1)]
+    assert stored(weekly) == want
+    late = [(r.news_hkey, r.batch_id) for r in weekly.late(second.schema).collect()]
+    assert late == [("e", 1)]
+
+
+def test_replayed_weekly_batch_changes_nothing(spark, tmp_path, monkeypatch):
+    """A batch is stopped at each of its steps and run again: rows, routes and sums are as without a stop."""
+    first = articles(spark, ("a", "2026-01-06 10:00:00", "s", 1.0))
+    batch = articles(spark, ("b", "2026-01-07 10:00:00", "s", 2.0), ("c", "2026-01-20 10:00:00", "s", 3.0),
+                     ("d", "2025-12-01 10:00:00", "s", 4.0))
+    whole = WeeklyStream(spark, f"{tmp_path}/whole")
+    whole.take(first, 0)
+    whole.take(batch, 1)
+    for step in ("append_table", "drop_path", "none"):
+        weekly = WeeklyStream(spark, f"{tmp_path}/{step}")
+        weekly.take(first, 0)
+        if step != "none":
+            with monkeypatch.context() as m:
+                def stop(*_, **__):
+                    raise RuntimeError("lost")
+                m.setattr(f"newsvault.streaming.weekly.{step}", stop)
+                try:
+                    weekly.take(batch, 1)
+                except RuntimeError:
+                    pass
+        weekly.take(batch, 1)
+        weekly.take(batch, 1)
+        assert stored(weekly) == stored(whole)
+        assert sorted(r.news_hkey for r in weekly.late(batch.schema).collect()) == ["d"]
+
+
 def test_bad_archives_fail_alone_and_leave_no_rows(spark, tmp_path):
     """Damaged bytes, a damaged checksum, a password flag, no zip: each fails; others are taken."""
     landed = tmp_path / "landed"
