@@ -42,7 +42,7 @@ KNOWN = SYMBOLS - SHARED - 1
 EDGE = SYMBOLS - 1
 LISTED = 1 << 18                 # words whose shares every task holds, in 12 bytes each
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-ROUNDS, STEP, FAN = 2, 2048, 32
+ROUNDS, STEP, FAN = 2, 4096, 32
 SHAPES = {"e": (SYMBOLS, WIDTH), "w": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "g": (HIDDEN, GROUPS),
           "gb": (GROUPS,), "s": (GROUPS, HIDDEN, GROUPS), "sb": (GROUPS, GROUPS)}
 
@@ -119,7 +119,7 @@ def log_probs(p: dict, ids: np.ndarray, around: np.ndarray, part: int = 8192) ->
 class Trainer:
     """Adagrad in small steps on one task's words."""
 
-    def __init__(self, p: dict, rate: float = 0.2):
+    def __init__(self, p: dict, rate: float = 0.3):
         self.p = {k: v.copy() for k, v in p.items()}
         self.sums = {k: np.full(v.shape, 1e-2, np.float32) for k, v in p.items()}
         self.rate, self.n = rate, 0
@@ -202,16 +202,17 @@ def vocabulary(docs: DataFrame, listed: int = LISTED) -> Vocabulary:
     """All words of all documents, counted. The driver gets the most frequent ones, of a fixed number."""
     counts = written(docs.select("text").mapInArrow(_count, "h long, n long").groupBy("h")
                      .agg(F.sum("n").alias("n")), "counts")
-    top = counts.orderBy(F.desc("n"), "h").limit(KNOWN + listed).toPandas()
-    hashes = top.h.to_numpy(np.int64).view(np.uint64)
+    top = counts.orderBy(F.desc("n"), "h").limit(KNOWN + listed).toArrow()
+    hashes = top.column("h").to_numpy().view(np.uint64)
+    times = top.column("n").to_numpy()
     known, rest = np.sort(hashes[:KNOWN]), hashes[KNOWN:]
     totals = np.zeros(SHARED, np.int64)
     place = F.col("h").bitwiseAND(SHARED - 1).cast("int")
     for r in counts.groupBy(place.alias("place")).agg(F.sum("n").alias("n")).collect():
         totals[r.place] = r.n
-    np.subtract.at(totals, (hashes[:KNOWN] % np.uint64(SHARED)).astype(np.int64), top.n.to_numpy()[:KNOWN])
+    np.subtract.at(totals, (hashes[:KNOWN] % np.uint64(SHARED)).astype(np.int64), times[:KNOWN])
     of = (rest % np.uint64(SHARED)).astype(np.int64)
-    shares = np.log(top.n.to_numpy()[KNOWN:] / np.maximum(totals[of], 1))
+    shares = np.log(times[KNOWN:] / np.maximum(totals[of], 1))
     order = np.argsort(rest)
     return Vocabulary(known, rest[order], shares[order].astype(np.float32), counts, totals)
 
@@ -293,10 +294,10 @@ def _score(known: np.ndarray, listed: np.ndarray, shares: np.ndarray, params: np
                 pick = np.arange(a, min(a + (1 << 19), len(ids)))
                 sums += np.bincount(row[pick], log_probs(p, ids[pick], contexts(ids, rows, pick)), run.num_rows)
             left = np.flatnonzero(rare[codes])
-            pairs, times = np.unique(np.stack([row[left], codes[left]], 1), axis=0, return_counts=True)
-            bounds = np.searchsorted(pairs[:, 0], np.arange(run.num_rows + 1)).astype(np.int32)
+            pairs, times = np.unique(row[left] * len(distinct) + codes[left], return_counts=True)
+            bounds = np.searchsorted(pairs, np.arange(run.num_rows + 1) * len(distinct)).astype(np.int32)
             tail = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(
-                [pa.array(distinct[pairs[:, 1]].view(np.int64)), pa.array(times.astype(np.int64))], ["h", "n"]))
+                [pa.array(distinct[pairs % max(len(distinct), 1)].view(np.int64)), pa.array(times.astype(np.int64))], ["h", "n"]))
             yield pa.RecordBatch.from_arrays([run.column("doc_id"), pa.array(n), pa.array(sums), tail],
                                              ["doc_id", "n_words", "log_prob", "tail"])
     return score
