@@ -30,8 +30,8 @@ from . import blocks
 from .frames import table
 
 MARK = "▁"
-TABLE_BYTES = 64 << 20         # of each task's table of words
-MOST_PAIRS = 300_000           # neighbours that are remembered, at about 100 bytes
+TABLE_BYTES = 128 << 20        # of each task's table of words
+MOST_PAIRS = 1_000_000         # neighbours that are remembered, at about 100 bytes
 
 
 class Pieces:
@@ -151,7 +151,7 @@ def _encode(path: str, merges: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Pieces.load(path, merges)
         words = blocks.WordTable(lambda raw: model.encode([w.replace(" ", MARK) for w in raw]), most=TABLE_BYTES)
-        for run in blocks.runs(batches):
+        for run in blocks.runs(batches, limit=2 * blocks.BLOCK):
             spaced = pc.replace_substring(run.column("text"), MARK, " ")   # a mark is a space
             data, starts, ends, offsets = marked(*blocks.flat(spaced))
             rows = np.searchsorted(starts, offsets)
