@@ -230,9 +230,12 @@ def classify_files(ticks: DataFrame, landed: DataFrame, now_ts: int) -> DataFram
         .when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("matched_rows") > 0, F.lit(None))
         .otherwise(MSG_NO_THEMES).alias("error_message"))
-    stop = judged.where("_future").groupBy("dataset").agg(F.min("file_ts").alias("_stop"))
-    return (judged.join(stop, "dataset", "left")
-            .where("_stop IS NULL OR file_ts <= _stop")
+    # One row per dataset comes to the driver, so the ticks of one dataset need not meet in a join.
+    stops = judged.where("_future").groupBy("dataset").agg(F.min("file_ts").alias("stop")).collect()
+    after = F.lit(False)
+    for r in stops:
+        after = after | (F.col("dataset").eqNullSafe(F.lit(r.dataset)) & (F.col("file_ts") > r.stop))
+    return (judged.where(~after)
             .select(*FILE_KEYS, "status", "bytes", "matched_rows", "error_message"))
 
 

@@ -27,6 +27,7 @@ from newsvault.operators.marts import article_rows
 from newsvault.operators.merge import one_per_key
 from newsvault.operators.page_text import main_text
 from newsvault.operators.pruning import in_time
+from newsvault.sinks.tables import append_table, read_table
 
 # Subjects that make the default scorer call an article relevant.
 SUBJECTS = ["money launder", "laundering", "financial crime", "corruption", "bribe",
@@ -182,6 +183,36 @@ def score_articles(articles: DataFrame, build_scorer: Callable[[], Scorer] | Non
     return judge(answered)
 
 
+RESPONSES = StructType([StructField("asked", StringType()), StructField("response", StringType())])
+
+
+def _asked() -> Column:
+    """Names a question: the hash of its prompt and of the whole text."""
+    return F.sha2(F.concat_ws("\n", prompt(F.col("article_text"), F.col("tone_overall")), "article_text"), 256)
+
+
+def score_resumable(articles: DataFrame, store: str, build_scorer: Callable[[], Scorer], slices: int = 16
+                    ) -> DataFrame:
+    """``score_articles`` that keeps what the scorer has answered, so a stopped run goes on.
+
+    Distinct questions without a stored response are asked in ``slices`` jobs by hash; each job
+    adds its responses to the folder ``store`` when it ends. A rerun asks only what is missing, and
+    equal articles are asked once. A question that fails is not stored and is asked again.
+    """
+    spark = articles.sparkSession
+    with_key = articles.withColumn("asked", F.when(F.col("article_text").isNotNull(), _asked()))
+    open_ = one_per_key(with_key.where("asked IS NOT NULL").select("asked", "article_text", "tone_overall"), ["asked"])
+    for part in range(slices):
+        todo = open_.where(F.conv(F.substring("asked", 1, 8), 16, 10).cast("long") % slices == part)
+        stored = read_table(spark, store, RESPONSES)
+        if stored is not None:
+            todo = todo.join(stored.select("asked"), "asked", "left_anti")
+        answered = model_responses(todo, build_scorer)
+        append_table(answered.where("response_error IS NULL").select("asked", "response"), store)
+    stored = one_per_key(read_table(spark, store, RESPONSES), ["asked"])
+    return judge(with_key.join(stored, "asked", "left").drop("asked"))
+
+
 def outcome_aggregates() -> list[Column]:
     """Counters of articles scanned, saved, not relevant, and without text."""
     outcome = F.col("outcome")

@@ -7,6 +7,7 @@ Queries about writes, files and streams put their data below the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +29,11 @@ from newsvault.functions import (
     week_start,
 )
 from newsvault.operators import control, enrich, marts, merge, moments, quality, staging, vault
+from newsvault.operators.lowest import add_lowest, stored_top_negative
 from newsvault.operators.numbering import with_position
+from newsvault.operators.pruning import dated
 from newsvault.plans import event_feed as feed
-from newsvault.plans.feed_drops import write_drop, write_zip_drop
+from newsvault.plans.feed_drops import tsv_line, write_drop, write_zip_drop, write_zip_lines
 from newsvault.schemas import (
     ARTICLE_FACT,
     HUB_COUNTRY,
@@ -43,7 +46,9 @@ from newsvault.schemas import (
 from newsvault.session import scratch_path
 from newsvault.sinks import export as exports
 from newsvault.sinks.tables import (
+    EvolvingTable,
     VersionedTable,
+    append_by_day,
     append_table,
     drop_path,
     materialize,
@@ -51,6 +56,7 @@ from newsvault.sinks.tables import (
     read_table,
     upsert_partitions,
     write_bronze,
+    write_bucketed,
     write_table,
 )
 from newsvault.sources import calendar, feed_files, tables
@@ -157,6 +163,39 @@ def tsv_width_check(spark, d):
     return checked.groupBy("fields", "width_ok").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rejected_lines(spark, d):
+    """Archives with lines of 26 and of 28 fields: what fits goes on, the others are kept whole."""
+    path = scratch_path(spark, "rejects")
+    raw = feed.raw_feed(spark, d, ["event_id"])
+    width = F.col("event_id") % 50
+    value = F.when(width == 1, tsv_line(26)).when(width == 2, tsv_line(28)).otherwise(tsv_line())
+    write_zip_lines(raw.select(value.alias("value")), path)
+    lines = materialize(feed_files.read_zip_lines(spark, path), f"{path}-lines")
+    good = feed_files.split_lines(feed_files.accepted_lines(lines, allow_short=False))
+    bad = feed_files.rejected_lines(lines, allow_short=False)
+    none = F.lit(None).cast("string")
+    return good.select(F.lit("accepted").alias("route"), F.col("_c0").alias("record_id"), F.lit(27).alias("fields"),
+                       none.alias("reason"), F.lit(True).alias("placed")).unionByName(
+        bad.select(F.lit("rejected").alias("route"), F.substring_index("line", "\t", 1).alias("record_id"), "fields",
+                   "reason", ((F.col("line_no") > 0) & F.col("source_file").isNotNull()).alias("placed")))
+
+
+def skipped_files(spark, d):
+    """Delivered files by day, an empty one and one that ends inside a line: state and lines of each."""
+    path = scratch_path(spark, "coverage")
+    raw = feed.raw_feed(spark, d, ["event_id", "ts"])
+    (raw.select(tsv_line().alias("value"), F.date_format("ts", "yyyyMMdd").alias("day"))
+     .write.partitionBy("day").text(f"{path}/kind=good"))
+    few = raw.where("event_id < 3").agg(F.array_join(F.sort_array(F.collect_list(tsv_line())), "\n").alias("value"))
+    few.write.option("lineSep", "\x01").text(f"{path}/kind=cut")         # no newline at the end
+    spark.range(0).select(F.lit("").alias("value")).write.text(f"{path}/kind=empty")
+    states = feed_files.file_states(feed_files.listed_files(spark, path, "*.txt"),
+                                    feed_files.file_coverage(spark, path, "*.txt"))
+    folder = (lambda name, what: F.regexp_extract("source_file", f"{name}=({what})/", 1))
+    return states.groupBy(folder("kind", "[a-z]+").alias("kind"), folder("day", "[0-9]+").alias("day"), "state").agg(
+        F.sum("n_lines").alias("n_lines"))
+
+
 def file_provenance(spark, d):
     path = scratch_path(spark, "bronze")
     by_day = feed.bronze_feed(spark, d, ["ts"]).withColumn(
@@ -310,6 +349,35 @@ def top_negative_last7d(spark, d):
                               ts_lit("2024-01-24 00:00:00"))
 
 
+def top_negative_stored(spark, d):
+    """The same ranking from the days' lowest rows, which two loads have kept up to date."""
+    base = scratch_path(spark, "lowest")
+    first = materialize(_fact(feed.staged_first(spark, d), _l1()), f"{base}/first")
+    rest = materialize(marts.new_articles(_fact(feed.staged(spark, d), _l1()), first), f"{base}/rest")
+    for rows in (first, rest):
+        append_by_day(rows, f"{base}/fact")
+        add_lowest(spark, f"{base}/days", rows)
+    fact = read_table(spark, f"{base}/fact", dated(ARTICLE_FACT))
+    return stored_top_negative(spark, f"{base}/days", fact, 10, datetime(2024, 1, 24))
+
+
+def weekly_co_located(spark, d):
+    """The weekly fact from a fact and a link table that are stored in equal buckets."""
+    base = scratch_path(spark, "buckets")
+    t = _bucketed_tables(spark, _model_tables(spark, d), base)
+    return marts.weekly_fact(t["fact"], t["link"], t["hub_country"], t["dim_country"], _l1(),
+                             unique_articles=True, co_located=True)
+
+
+def _bucketed_tables(spark, tables: dict[str, DataFrame], base: str, buckets: int = 8) -> dict[str, DataFrame]:
+    out = dict(tables)
+    for name, source in (("fact", "fact_ai_news_insights"), ("link", "link_news_country")):
+        table = f"{name}_{base.rsplit('-', 1)[1]}"
+        write_bucketed(tables[source], table, "news_hkey", buckets, f"{base}/{name}")
+        out[name] = spark.table(table)
+    return out
+
+
 def articles_per_day(spark, d):
     return marts.articles_per_day(_fact(feed.staged(spark, d), _l1()))
 
@@ -594,6 +662,16 @@ def export_csv(spark, d):
                        "ai_abstract")
 
 
+def schema_versions(spark, d):
+    """Rows stored under two sets of columns and read as one table."""
+    table = EvolvingTable(spark, scratch_path(spark, "evolving"))
+    first = _fact(feed.staged_first(spark, d), _l1())
+    table.append(first)
+    fresh = marts.new_articles(_fact(feed.staged_second(spark, d), _l2()), table.read())
+    table.append(fresh.select("news_hkey", "event_datetime", "tone_overall", F.lit("en").alias("language")))
+    return table.read()
+
+
 def schema_sync(spark, d):
     target = _fact(feed.staged_first(spark, d), _l1())
     fresh = marts.new_articles(_fact(feed.staged_second(spark, d), _l2()), target)
@@ -804,9 +882,10 @@ QUERIES: dict[str, Query] = {
         register_files, update_files, advance_watermarks, reset_watermarks, run_lifecycle,
         seed_dim_scan, table_roundtrip, weekly_partition_upsert, dq_not_null, dq_unique,
         dq_orphans, dq_model, export_order, export_csv, schema_sync, tsv_scan, zip_tsv_scan,
-        tsv_width_check, file_provenance, article_prompt, article_score, article_score_plugin, score_counters,
+        tsv_width_check, rejected_lines, skipped_files, file_provenance, article_prompt, article_score, article_score_plugin, score_counters,
         page_main_text, daily_backfill, stream_vault, stream_weekly_window, stream_repeats,
         stream_late_rows, weekly_moments, weekly_ordered,
+        weekly_co_located, top_negative_stored, schema_versions,
         vault_customer_hub, vault_orders_link, vault_orders_sat)
 }
 QUERIES.update({

