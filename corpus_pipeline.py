@@ -7,7 +7,7 @@ reads again for the next one.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsvault.llm import line_crf, minhash, packing, pii, suffix_dedup
@@ -16,29 +16,27 @@ from newsvault.llm.frames import table, written
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier does not reject."""
-    model = line_crf.train(docs, table(spark, sf_dir, "labels"))
-    scored = line_crf.quality(docs, model, "quality_score")
-    return scored.where(F.col("quality_score") >= line_crf.KEEP).select(docs.columns)
+    rows = _packed(docs)
+    scored = line_crf.quality(rows, line_crf.train(rows, table(spark, sf_dir, "labels")), "score")
+    return _unpacked(docs, scored.where(F.col("score") >= line_crf.KEEP))
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, that with the smallest doc_id."""
-    gone = minhash.classes(docs).where("not kept").select("doc_id")
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    rows = _packed(docs).withColumn("row_key", F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    gone = minhash.classes(rows).where("not kept").select("doc_id", "row_key").distinct()
+    return _unpacked(docs, rows.join(gone.hint("merge"), ["doc_id", "row_key"], "left_anti"))
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of earlier ones. Bytes of a character that is cut go with it."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    kept = suffix_dedup.remove_repeats(docs, rest=rest)
-    return _with_text(docs, kept, F.col("kept_text"))
+    return _unpacked(docs, suffix_dedup.remove_repeats(_packed(docs), rest=("rest",)), F.col("kept_text"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by the name of its kind."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = pii.redact(pii.find(docs, pii.train(docs), rest))
-    return _with_text(docs, found, F.col("redacted"))
+    rows = _packed(docs)
+    return _unpacked(docs, pii.redact(pii.find(rows, pii.train(rows), ("rest",))), F.col("redacted"))
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,12 +57,22 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _with_text(docs: DataFrame, rows: DataFrame, text) -> DataFrame:
-    """The columns of ``docs`` from ``rows``, with a new text and its number of characters."""
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(docs.columns)
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns in ``rest``, where no name of theirs can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", (F.struct(*others) if others else F.lit(0)).alias("rest"))
+
+
+def _unpacked(docs: DataFrame, rows: DataFrame, text: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` from packed rows, with a new text, if given, and its number of characters."""
+    out = []
+    for name in docs.columns:
+        value = F.col("doc_id").cast(docs.schema[name].dataType) if name == "doc_id" else \
+            (F.col("text") if text is None else text) if name == "text" else F.col("rest")[name]
+        if name == "n_chars" and text is not None:
+            value = F.length(text).cast(docs.schema[name].dataType)
+        out.append(value.alias(name))
+    return rows.select(out)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
