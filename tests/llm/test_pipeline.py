@@ -63,6 +63,29 @@ def test_stages_in_order(spark, sf_dir):
     assert {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in out.collect()} == want
 
 
+CLASHING = ["quality_score", "score", "spans", "kept", "row_key", "n_bytes", "kept_text", "base", "s_email", "cut",
+            "redacted", "rest", "class_id", "a.b"]
+
+
+def test_extra_columns_come_through_whatever_their_names(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").limit(150).withColumns(
+        {c: F.concat(F.lit(f"{c}-"), F.col("doc_id")) for c in CLASHING})
+    docs = written(docs, "docs")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in CLASHING)
+
+
+def test_rows_of_one_doc_id_go_singly(spark, sf_dir):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (7, " ".join(words) + " more"), (7, "a text of its own and of no other document here")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    left = corpus_pipeline.minhash_stage(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [rows[0], rows[2]]
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
