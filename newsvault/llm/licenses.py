@@ -13,12 +13,13 @@ One pass, no shuffle.
 
 Defined results: null and empty texts have no match; null doc_ids are scanned too; repeated rows
 each give their matches; of overlapping matches the one with more words in a tighter span is
-reported; an empty table gives no rows; extra columns are
-ignored; texts of any length are scanned whole.
+reported; a notice of another version or license of a family is reported as the family; an
+empty table gives no rows; extra columns are ignored; texts of any length are scanned whole.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
@@ -42,7 +43,23 @@ TEMPLATES = {
     "cc-by-nc-4-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-4-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-4-notice": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4-notice": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4-notice": "Licensed under CC BY-NC-ND 4.0.",
     "all-rights-reserved": "All rights reserved.",
+    "bsd-notice": "Released under the BSD License.",
+    "mpl-2.0-notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "gpl-2-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-3-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-apache-2.0": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-gpl-2.0": "SPDX-License-Identifier: GPL-2.0",
+    "spdx-gpl-3.0": "SPDX-License-Identifier: GPL-3.0",
+    "spdx-lgpl-3.0": "SPDX-License-Identifier: LGPL-3.0",
+    "spdx-bsd-2-clause": "SPDX-License-Identifier: BSD-2-Clause",
+    "spdx-bsd-3-clause": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-mpl-2.0": "SPDX-License-Identifier: MPL-2.0",
+    "spdx-cc0-1.0": "SPDX-License-Identifier: CC0-1.0",
     "apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
@@ -57,6 +74,12 @@ TEMPLATES = {
         "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
         "following conditions: The above copyright notice and this permission notice shall be included in all "
         "copies or substantial portions of the Software."),
+    "mit-disclaimer": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN "
+        "AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+        "OR OTHER DEALINGS IN THE SOFTWARE."),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -66,6 +89,37 @@ TEMPLATES = {
         "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
         "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
         "documentation and/or other materials provided with the distribution."),
+    "bsd-3-clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."),
+    "bsd-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE."),
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."),
+    "gpl-2-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, or "
+        "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU General Public License for more details."),
+    "lgpl-3-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version. This library is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU Lesser General Public License for more details."),
     "gpl-3-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
@@ -73,6 +127,22 @@ TEMPLATES = {
         "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
         "PURPOSE. See the GNU General Public License for more details."),
 }
+NOTICE_WORDS = 14                # a template of at most so many words only names a license
+# Words of notices that tell no license from another.
+GENERIC = {"licensed", "released", "under", "the", "this", "work", "is", "license", "public", "general", "version"}
+# The words of longer texts without which another version or license is meant.
+DECISIVE = {"apache-2.0-header": {"apache", "2", "0"}, "gpl-2-header": {"2"}, "gpl-3-header": {"3"},
+            "lgpl-3-header": {"lesser", "3"}, "mpl-2.0-header": {"mozilla", "2", "0"}}
+
+
+def decisive_words(name: str, words: list[str]) -> set[str]:
+    """Words of a template that a match must hold to be this license and not one of its family."""
+    return DECISIVE.get(name, set()) if len(words) > NOTICE_WORDS else {w for w in words if w not in GENERIC}
+
+
+def family(name: str) -> str:
+    """The license without version and form: ``gpl`` of ``gpl-3-notice``."""
+    return re.sub(r"-notice$|-header$|-[0-9].*", "", name)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -174,6 +244,12 @@ class Index:
         order = np.argsort(value, kind="stable")
         self.value, self.which, self.place = value[order], which[order], (at - rows[which])[order]
         self.templates = [hashes[a:b] for a, b in zip(rows[:-1], rows[1:])]
+        self.families = [family(n) for n in self.names]
+        self.decisive = []                       # places of the words that must be there
+        for name, text in templates.items():
+            own = re.findall("[a-z0-9]+", text.lower())
+            needed = decisive_words(name, own)
+            self.decisive.append({k for k, w in enumerate(own) if w in needed})
 
     def hits(self, at: np.ndarray, value: np.ndarray):
         """(document place, template, template place) of all common fingerprints."""
@@ -238,15 +314,20 @@ def occurrences(template: np.ndarray, text: np.ndarray, places: np.ndarray, insi
 
 
 def matches(index: Index, hashes: np.ndarray, places: np.ndarray, which: np.ndarray, inside: np.ndarray,
-            least: float, band: int) -> list[tuple[int, float, int, int, int]]:
-    """(template, coverage, matched words, first word, last word) in one document."""
+            least: float, band: int) -> list[tuple[int, float, int, int, int, str]]:
+    """(template, coverage, matched words, first word, last word, license) in one document.
+
+    Without the words that decide between licenses of a family, the family is what is found.
+    """
     found = []
     for t in np.unique(which):
         mine, template = which == t, index.templates[t]
         for pairs in occurrences(template, hashes, places[mine], inside[mine], least, band):
             first, last = pairs[0][1], pairs[-1][1]
             tight = len(pairs) / max(len(template), last - first + 1)
-            found.append((len(pairs) * tight, int(t), len(pairs) / len(template), len(pairs), first, last))
+            exact = index.decisive[t] <= {k for k, _ in pairs}
+            found.append((len(pairs) * tight * (1 if exact else 0.5), int(t), len(pairs) / len(template), len(pairs),
+                          first, last, index.names[t] if exact else index.families[t]))
     taken, ends = [], []                    # by start, without overlaps
     for f in sorted(found, key=lambda f: (-f[0], f[4], f[1])):
         k = bisect_left(ends, f[4])
@@ -273,13 +354,13 @@ def _scan(templates: dict[str, str], least: float, band: int):
             for d, at in zip(docs, np.split(order, cut[1:])):
                 own = slice(rows[d], rows[d + 1])
                 at_byte, at_char = offsets[d], 0                         # matches come by start
-                for t, cover, n, a, b in matches(index, hashes[own], places[at] - rows[d], which[at], inside[at],
+                for _, cover, n, a, b, name in matches(index, hashes[own], places[at] - rows[d], which[at], inside[at],
                                                  least, band):
                     first, last = starts[own][a], ends[own][b]
                     start = at_char + int(((data[at_byte:first] & 0xC0) != 0x80).sum())     # characters, not bytes
                     end = start + int(((data[first:last] & 0xC0) != 0x80).sum())
                     at_byte, at_char = last, end
-                    out.append((int(d), index.names[t], cover, n, start, end))
+                    out.append((int(d), name, cover, n, start, end))
             if out:
                 d, *rest = map(list, zip(*out))
                 yield pa.RecordBatch.from_arrays(

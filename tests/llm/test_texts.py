@@ -259,6 +259,52 @@ def test_added_spans_and_redaction(spark):
     assert pii.train(cases.frame(spark)) is None
 
 
+def _plain_matches(text):
+    """Templates that are in the text word for word: (license, first word, last word); the longest ones first."""
+    own = licenses.re.findall("[a-z0-9]+", text.lower())
+    found = []
+    for name, template in licenses.TEMPLATES.items():
+        t = licenses.re.findall("[a-z0-9]+", template.lower())
+        found += [(-len(t), k, k + len(t), name) for k in range(len(own) - len(t) + 1) if own[k:k + len(t)] == t]
+    taken = []
+    for n, a, b, name in sorted(found):
+        if all(b <= x or a >= y for _, x, y in taken):
+            taken.append((name, a, b))
+    return sorted(n for n, _, _ in taken)
+
+
+def test_every_template_is_found_at_every_place(spark):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for k, (name, template) in enumerate(licenses.TEMPLATES.items()):
+        for place in (0, 1, 7, 40):
+            around = [f"q{rng.randint(0, 400)}" for _ in range(60)]
+            i = 100 * k + place
+            rows.append((i, " ".join(around[:place]) + f" {template} " + " ".join(around[place:])))
+            want[i] = _plain_matches(rows[-1][1])
+            assert name in want[i] or len(want[i]) >= 1
+    got = {}
+    for r in licenses.scan(cases.frame(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append(r.license)
+    assert {i: sorted(n) for i, n in got.items()} == want
+
+
+@pytest.mark.parametrize("text,license", [
+    ("Licensed under CC BY 3.0.", "cc-by"), ("Licensed under CC BY-ND 4.0.", "cc-by-nd-4-notice"),
+    ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa-4-notice"), ("Licensed under the Apache License, Version 1.1.", None),
+    ("Licensed under the Apache License, Version 1.0.", "apache"), ("Released under the Foo License.", None),
+    ("SPDX-License-Identifier: Apache-2.0", "spdx-apache-2.0"), ("SPDX-License-Identifier: CC0-1.0", "spdx-cc0-1.0"),
+    (licenses.TEMPLATES["gpl-3-header"].replace("version 3", "version 4"), "gpl"),
+    (licenses.TEMPLATES["gpl-2-header"], "gpl-2-header"), (licenses.TEMPLATES["lgpl-3-header"], "lgpl-3-header")])
+def test_version_words_decide(text, license):
+    index = licenses.Index(licenses.TEMPLATES)
+    data = np.frombuffer(text.encode(), np.uint8)
+    _, _, hashes, rows = licenses.words(data, np.array([0, len(data)]))
+    places, which, inside = index.hits(*licenses.shingles(hashes, rows))
+    got = [m[-1] for m in licenses.matches(index, hashes, places, which, inside, licenses.COVERAGE, licenses.BAND)]
+    assert got == ([license] if license else []) or (license is None and all("-" not in g for g in got))
+
+
 # ---------------------------------------------------------------- op9
 
 def test_log_probs_equal_a_plain_softmax():
