@@ -241,18 +241,23 @@ def sat_news_tone(spark, d):
     return vault.sat_news_tone(feed.staged(spark, d))
 
 
+def _loaded(spark, rows: DataFrame) -> DataFrame:
+    """The rows of one load, parsed and hashed once, as a load finds and leaves them."""
+    return materialize(rows, scratch_path(spark, "load"))
+
+
 def _after_two_loads(build, keys, schema):
     def run(spark, d):
-        target = build(feed.staged_first(spark, d))
-        arriving = build(feed.staged_second(spark, d))
+        target, arriving = (_loaded(spark, build(staged)) for staged in (feed.staged_first(spark, d),
+                                                                         feed.staged_second(spark, d)))
         return (target.unionByName(merge.unseen(arriving, target, keys))
                 .select(*schema.fieldNames()))
     return run
 
 
 def sat_increment(spark, d):
-    target = vault.sat_news_tone(feed.staged_first(spark, d))
-    arriving = vault.sat_news_tone(feed.staged_changed(spark, d))
+    target = _loaded(spark, vault.sat_news_tone(feed.staged_first(spark, d)))
+    arriving = _loaded(spark, vault.sat_news_tone(feed.staged_changed(spark, d)))
     return target.unionByName(vault.unseen_states(arriving, target, "news_hkey"))
 
 
@@ -282,8 +287,8 @@ def article_fact(spark, d):
 
 
 def insert_if_absent(spark, d):
-    target = _fact(feed.staged_first(spark, d), _l1())
-    arriving = _fact(feed.staged_second(spark, d), _l2())
+    target = _loaded(spark, _fact(feed.staged_first(spark, d), _l1()))
+    arriving = _loaded(spark, _fact(feed.staged_second(spark, d), _l2()))
     return target.unionByName(marts.new_articles(arriving, target))
 
 

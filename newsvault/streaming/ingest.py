@@ -17,7 +17,8 @@ from newsvault.schemas import (
     RAW27,
     SAT_NEWS_TONE,
 )
-from newsvault.sinks.tables import append_by_day, append_table, read_table
+from newsvault.session import scratch_path
+from newsvault.sinks.tables import append_by_day, append_table, drop_path, materialize, read_table
 from newsvault.sources.feed_files import with_source_file
 
 
@@ -56,9 +57,13 @@ def load_vault(spark: SparkSession, staged: DataFrame, root: str) -> None:
     ]
     for name, schema, rows, keys in loads:
         target = read_table(spark, f"{root}/{name}", schema)
-        new = unseen(rows, target, keys).select(*schema.fieldNames())
+        if target is not None:      # read twice: once for the keys to look for, once for the rows
+            scratch = scratch_path(spark, name)
+            rows = unseen(materialize(rows, scratch), target, keys)
         append = append_by_day if name == "sat_news_tone" else append_table
-        append(new, f"{root}/{name}")
+        append(rows.select(*schema.fieldNames()), f"{root}/{name}")
+        if target is not None:
+            drop_path(spark, scratch)
 
 
 def run_to_end(stream: DataFrame, checkpoint: str,
