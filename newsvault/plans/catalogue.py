@@ -33,7 +33,14 @@ from newsvault.operators.lowest import add_lowest, stored_top_negative
 from newsvault.operators.numbering import with_position
 from newsvault.operators.pruning import dated
 from newsvault.plans import event_feed as feed
-from newsvault.plans.feed_drops import tsv_line, write_drop, write_zip_drop, write_zip_lines
+from newsvault.plans.feed_drops import (
+    cut_archive,
+    put_file,
+    tsv_line,
+    write_drop,
+    write_zip_drop,
+    write_zip_lines,
+)
 from newsvault.schemas import (
     ARTICLE_FACT,
     HUB_COUNTRY,
@@ -180,6 +187,19 @@ def rejected_lines(spark, d):
                    "reason", ((F.col("line_no") > 0) & F.col("source_file").isNotNull()).alias("placed")))
 
 
+def damaged_archives(spark, d):
+    """Good archives beside one that is no zip, one whose stream is cut and an empty one: lines and errors."""
+    path = scratch_path(spark, "archives")
+    write_zip_drop(feed.raw_feed(spark, d), path)
+    for name, content in (("none", b"no archive"), ("empty", b""), ("cut", cut_archive(["a\tb"] * 1000))):
+        put_file(spark, f"{path}/damaged-{name}.zip", content)
+    found = feed_files.archive_outcomes(feed_files.listed_files(spark, path, "*.zip"),
+                                        feed_files.read_zip_lines(spark, path))
+    kind = F.regexp_extract("source_file", r"damaged-([a-z]+)\.zip$", 1)
+    return found.groupBy(kind.alias("kind"), F.regexp_extract("error", "^[^:]+", 0).alias("error")).agg(
+        F.sum("n_lines").alias("n_lines"))
+
+
 def skipped_files(spark, d):
     """Delivered files by day, an empty one and one that ends inside a line: state and lines of each."""
     path = scratch_path(spark, "coverage")
@@ -887,7 +907,7 @@ QUERIES: dict[str, Query] = {
         register_files, update_files, advance_watermarks, reset_watermarks, run_lifecycle,
         seed_dim_scan, table_roundtrip, weekly_partition_upsert, dq_not_null, dq_unique,
         dq_orphans, dq_model, export_order, export_csv, schema_sync, tsv_scan, zip_tsv_scan,
-        tsv_width_check, rejected_lines, skipped_files, file_provenance, article_prompt, article_score, article_score_plugin, score_counters,
+        tsv_width_check, rejected_lines, skipped_files, damaged_archives, file_provenance, article_prompt, article_score, article_score_plugin, score_counters,
         page_main_text, daily_backfill, stream_vault, stream_weekly_window, stream_repeats,
         stream_late_rows, weekly_moments, weekly_ordered,
         weekly_co_located, top_negative_stored, schema_versions,

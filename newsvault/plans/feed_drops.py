@@ -11,7 +11,7 @@ from itertools import chain
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsvault.constants import FEED_FILE_SUFFIX, RAW_WIDTH
@@ -74,3 +74,25 @@ def write_zip_lines(lines: DataFrame, path: str) -> int:
 
     return lines.select("value").mapInArrow(write_partition, "n long").agg(
         F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def put_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """A file of these bytes, wherever the path lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def cut_archive(lines: list[str]) -> bytes:
+    """An archive whose compressed stream is damaged from its first byte on."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("feed.csv", "\n".join(lines))
+        start = archive.infolist()[0]
+    raw = bytearray(buffer.getvalue())
+    at = 30 + len(start.filename)                     # after the local header and the name
+    raw[at:at + 4] = b"\xff\xff\xff\xff"
+    return bytes(raw)

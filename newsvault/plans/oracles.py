@@ -476,6 +476,10 @@ def statements() -> dict[str, str]:
   c0 AS record_id, fields, CASE WHEN fields <> 27 THEN 'expected 27 fields, found ' || fields END AS reason,
   true AS placed
  FROM (SELECT c0, CASE event_id % 50 WHEN 1 THEN 26 WHEN 2 THEN 28 ELSE 27 END AS fields FROM feed)"""),
+        "damaged_archives": sql("""SELECT '' AS kind, CAST(NULL AS VARCHAR) AS error, count(*) AS n_lines FROM feed
+ UNION ALL SELECT 'none', 'not a readable zip archive', 0
+ UNION ALL SELECT 'cut', 'damaged archive', 0
+ UNION ALL SELECT 'empty', 'empty file', 0"""),
         "skipped_files": sql("""SELECT 'good' AS kind, strftime(ts, '%Y%m%d') AS day, 'complete' AS state,
   count(*) AS n_lines FROM feed GROUP BY ALL
  UNION ALL SELECT 'cut', '', 'cut', count(*) FROM feed WHERE event_id < 3

@@ -102,6 +102,15 @@ def read_zip_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return archives.mapInArrow(_unzip_lines, "source_file string, line_no long, line string, error string")
 
 
+def archive_outcomes(listing: DataFrame, lines: DataFrame) -> DataFrame:
+    """(source_file, bytes, n_lines, error) of every listed archive; an empty one gave no rows at all."""
+    seen = (lines.groupBy(_plain_path(F.col("source_file")).alias("_p"))
+            .agg(F.count("line").alias("n_lines"), F.max("error").alias("error")))
+    error = F.when(F.col("bytes") == 0, "empty file").otherwise(F.col("error"))
+    return (listing.withColumn("_p", _plain_path(F.col("source_file"))).join(seen, "_p", "left")
+            .select("source_file", "bytes", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), error.alias("error")))
+
+
 def split_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Lines to the 27 raw columns; short lines get a NULL tail, empty text is NULL."""
     parts = F.split(F.col("line"), "\t", -1)
