@@ -228,20 +228,26 @@ class Warehouse:
                             F.col("_metadata.file_path").alias("source_file"))
         parsed = staging.parse(raw, self.stamp).withColumn(
             "file_ts", F.regexp_extract("source_file", r"file_ts=(\d+)", 1).cast("long"))
+        self._note_skipped(folders)
         (parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("file_ts").parquet(self.path("staging")))
-        self._note_skipped(folders)
         done = spark.createDataFrame(found, STAGED_FILES)
         ledger.replace(ledger.read().join(done, "file_ts", "left_anti").unionByName(done))
         return self.table("staging", STAGING)
 
     def _note_skipped(self, folders: list[str]) -> None:
-        """Bronze files of these folders that were not read to their end; the stage goes on without."""
-        spark = self.spark
-        states = file_states(listed_files(spark, folders, "*.csv"), file_coverage(spark, folders, "*.csv"))
-        skipped = states.where("state <> 'complete'").withColumn("seen_at", self.stamp)
-        if not skipped.isEmpty():
-            append_table(skipped, self.path("skipped_files"))
+        """Keeps a list of the bronze files of these folders that were not read to their end; the stage
+        goes on without them, and fails if not one file could be read."""
+        spark, scratch = self.spark, scratch_path(self.spark, "states")
+        states = materialize(file_states(listed_files(spark, folders, "*.csv"),
+                                         file_coverage(spark, folders, "*.csv")), scratch)
+        found = {r.state: r["count"] for r in states.groupBy("state").count().collect()}     # five states
+        if set(found) - {"complete"}:
+            append_table(states.where("state <> 'complete'").withColumn("seen_at", self.stamp),
+                         self.path("skipped_files"))
+        drop_path(spark, scratch)
+        if not set(found) - {"unread", "empty"}:
+            raise ValueError(f"no rows could be read from {self.path('bronze')}")
 
     def load_vault(self) -> None:
         load_vault(self.spark, self.table("staging", STAGING), self.root)

@@ -22,7 +22,7 @@ def read_tsv(spark: SparkSession, path: str | list[str], name_glob: str | None =
     """27 text columns per line.
 
     Quoting is off, so one line is one record whatever quotes it holds. Short lines get a
-    NULL tail. Unreadable or vanished files are skipped (see ``skipped_files``).
+    NULL tail. Unreadable or vanished files are skipped (see ``file_states``).
     """
     reader = (spark.read.schema(RAW27)
               .option("sep", "\t").option("header", False).option("quote", "")
@@ -217,17 +217,3 @@ def file_states(listing: DataFrame, coverage: DataFrame) -> DataFrame:
              .otherwise("partly read"))
     return (listing.withColumn("_p", _plain_path(F.col("source_file"))).join(seen, "_p", "left")
             .select("source_file", "bytes", n.alias("n_lines"), state.alias("state")))
-
-
-def skipped_files(listing: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Listed files that gave no rows; empty files count as skipped too."""
-    seen = loaded.select(_plain_path(F.col("source_file")).alias("_p")).distinct()
-    return (listing.withColumn("_p", _plain_path(F.col("source_file")))
-            .join(seen, "_p", "left_anti").select("source_file", "bytes"))
-
-
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Fails when not a single row could be read."""
-    if df.isEmpty():
-        raise ValueError(f"no rows could be read from {what}")
-    return df

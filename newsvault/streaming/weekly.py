@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-from newsvault.functions import ts_lit, utc_day, utc_instant, week_start
+from newsvault.functions import ts_lit, utc_instant, week_start
 from newsvault.operators.marts import WEEKLY_KEYS, increment_start
 from newsvault.operators.merge import one_per_key, unseen
 from newsvault.operators.moments import merged_moments, moments, moments_schema
@@ -51,23 +51,6 @@ def drop_repeats(stream: DataFrame, key: str, event_time: str = "event_datetime"
             .withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key]))
 
 
-def weekly_window(stream: DataFrame, group: list[str], event_time: str = "event_datetime"
-                  ) -> DataFrame:
-    """Monday weeks x group on a stream without repeats, each once it is closed: counts and mean tone.
-
-    Exact distinct counts do not exist on streams; after ``drop_repeats`` a plain count is
-    the article count, and the number of sources is an estimate.
-    """
-    week = F.window(event_time, "7 days", "7 days", "4 days")
-    return (stream.groupBy(week, *group)
-            .agg(F.count(F.lit(1)).alias("article_count"),
-                 F.approx_count_distinct("source_domain").alias("approx_sources"),
-                 F.avg("tone_overall").alias("avg_tone"))
-            .select(utc_day(F.col("window.start")).cast("timestamp_ntz").alias("week_date"),
-                    *group,
-                    "article_count", "approx_sources", "avg_tone"))
-
-
 def route_late(rows: DataFrame, bound: Column, event_time: str = "event_datetime"
                ) -> tuple[DataFrame, DataFrame]:
     """Rows of the bounding week or later, and older ones, which come too late."""

@@ -82,15 +82,19 @@ def test_zip_scan_and_damaged_archive(spark, tmp_path):
     assert got["id1"]._c2 is None and got["id2"]._c1 == "x" and got["id2"]._c5 is None
 
 
-def test_skipped_files(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("x\ty\n")
-    (tmp_path / "b.csv").write_text("")
-    df = feed_files.read_tsv(spark, str(tmp_path))
-    listing = feed_files.listed_files(spark, str(tmp_path))
-    skipped = feed_files.skipped_files(listing, df).collect()
-    assert [r.source_file.rsplit("/", 1)[1] for r in skipped] == ["b.csv"]
-    with pytest.raises(ValueError, match="no rows"):
-        feed_files.require_rows(df.where("false"), "nowhere")
+def test_file_states(spark, tmp_path):
+    whole, cut = b"a\tb\n" * 5, b"a\tb\n" * 3 + b"a"
+    for name, content in (("whole", whole), ("cut", cut), ("empty", b"")):
+        (tmp_path / f"{name}.csv").write_bytes(content)
+    listing = feed_files.listed_files(spark, str(tmp_path), "*.csv")
+    coverage = feed_files.file_coverage(spark, str(tmp_path), "*.csv")
+    got = {r.source_file.rsplit("/", 1)[1]: (r.state, r.n_lines) for r in feed_files.file_states(listing, coverage).collect()}
+    assert got == {"whole.csv": ("complete", 5), "cut.csv": ("cut", 4), "empty.csv": ("empty", 0)}
+    half = coverage.withColumns({"bytes_read": F.col("bytes_read") - 8})
+    states = {r.state for r in feed_files.file_states(listing, half).collect()}
+    assert states == {"partly read", "empty"}
+    unread = feed_files.file_states(listing, coverage.where("false")).collect()
+    assert sorted(r.state for r in unread) == ["empty", "unread", "unread"]
 
 
 def test_seed_keeps_the_code_na(spark, tmp_path):
