@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from newsvault.functions import ts_lit  # noqa: E402
 from newsvault.operators import marts  # noqa: E402
-from newsvault.operators.lowest import add_lowest, stored_top_negative  # noqa: E402
+from newsvault.operators.lowest import add_lowest, read_lowest, stored_top_negative  # noqa: E402
 from newsvault.plans import catalogue  # noqa: E402
 from newsvault.session import local_session, scratch_path  # noqa: E402
 
@@ -54,8 +54,9 @@ def main() -> None:
         ts_lit("2026-02-01 06:00:00"), unique_articles=True, co_located=True))
     low = scratch_path(spark, "bench-lowest")
     add_lowest(spark, low, t["fact_ai_news_insights"])
+    lows = read_lowest(spark, low)
     jobs["stored_top10_negative_7d"] = lambda: stored_top_negative(
-        spark, low, t["fact_ai_news_insights"], 10, datetime(2024, 1, 24)).collect()
+        lows, t["fact_ai_news_insights"], 10, datetime(2024, 1, 24)).collect()
 
     seconds = {}
     for name, job in jobs.items():

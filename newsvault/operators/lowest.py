@@ -48,13 +48,16 @@ def add_lowest(spark: SparkSession, path: str, new_rows: DataFrame, keep: int =
     drop_path(spark, scratch)
 
 
-def stored_top_negative(spark: SparkSession, path: str, fact: DataFrame, k: int,
-                        since: datetime | None = None, keep: int = KEEP) -> DataFrame:
+def read_lowest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(dated(ARTICLE_FACT)).parquet(path)
+
+
+def stored_top_negative(lows: DataFrame, fact: DataFrame, k: int, since: datetime | None = None,
+                        keep: int = KEEP) -> DataFrame:
     """``marts.top_negative`` over the whole fact or from ``since`` on, mostly from the days' tables."""
     since_column = None if since is None else ts_lit(since)
     if k > keep:
         return top_negative(fact, k, since_column)
-    lows = spark.read.schema(dated(ARTICLE_FACT)).parquet(path)
     if since is None:
         return top_negative(lows, k).select(ARTICLE_FACT.fieldNames())
     if since == datetime.combine(since.date(), datetime.min.time()):

@@ -29,7 +29,7 @@ from newsvault.functions import (
     week_start,
 )
 from newsvault.operators import control, enrich, marts, merge, moments, quality, staging, vault
-from newsvault.operators.lowest import add_lowest, stored_top_negative
+from newsvault.operators.lowest import add_lowest, read_lowest, stored_top_negative
 from newsvault.operators.numbering import with_position
 from newsvault.operators.pruning import dated
 from newsvault.plans import event_feed as feed
@@ -383,7 +383,7 @@ def top_negative_stored(spark, d):
         append_by_day(rows, f"{base}/fact")
         add_lowest(spark, f"{base}/days", rows)
     fact = read_table(spark, f"{base}/fact", dated(ARTICLE_FACT))
-    return stored_top_negative(spark, f"{base}/days", fact, 10, datetime(2024, 1, 24))
+    return stored_top_negative(read_lowest(spark, f"{base}/days"), fact, 10, datetime(2024, 1, 24))
 
 
 def weekly_co_located(spark, d):

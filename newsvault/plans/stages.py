@@ -15,7 +15,7 @@ from pyspark.sql.types import DataType, LongType, StringType, StructField, Struc
 from newsvault.constants import DATASET, FEED_START_TS, MAX_FILES_PER_RUN
 from newsvault.functions import date_lit, ts_lit
 from newsvault.operators import control, enrich, marts, quality, staging
-from newsvault.operators.lowest import add_lowest, stored_top_negative
+from newsvault.operators.lowest import add_lowest, read_lowest, stored_top_negative
 from newsvault.operators.pruning import dated
 from newsvault.schemas import (
     ARTICLE_FACT,
@@ -290,7 +290,7 @@ class Warehouse:
     def most_negative(self, k: int, since: datetime | None = None) -> DataFrame:
         """The k most negative articles, ties by key."""
         fact = self.table("fact_ai_news_insights", dated(ARTICLE_FACT))
-        return stored_top_negative(self.spark, self.path("lowest_by_day"), fact, k, since)
+        return stored_top_negative(read_lowest(self.spark, self.path("lowest_by_day")), fact, k, since)
 
     def _no_articles(self) -> DataFrame:
         return self.spark.createDataFrame(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsvault.operators import enrich, marts
-from newsvault.operators.lowest import add_lowest, stored_top_negative
+from newsvault.operators.lowest import add_lowest, read_lowest, stored_top_negative
 from newsvault.operators.moments import deviation, distinct_estimate, mean, merged_moments, moments
 from newsvault.operators.pruning import dated
 from newsvault.plans import catalogue
@@ -36,7 +36,7 @@ def test_ranking_from_the_lowest_rows_of_days(spark, tmp_path, k, since):
     for part in parts:
         append_by_day(part, f"{tmp_path}/fact")
     stored = read_table(spark, f"{tmp_path}/fact", dated(ARTICLE_FACT))
-    got = stored_top_negative(spark, f"{tmp_path}/low", stored, k, since, keep=20).select(ARTICLE_FACT.fieldNames())
+    got = stored_top_negative(read_lowest(spark, f"{tmp_path}/low"), stored, k, since, keep=20).select(ARTICLE_FACT.fieldNames())
     want = marts.top_negative(whole, k, None if since is None else F.lit(since).cast("timestamp_ntz"))
     assert rows(got) == rows(want)
     assert read_table(spark, f"{tmp_path}/low", dated(ARTICLE_FACT)).count() <= 200
