@@ -234,7 +234,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
     smallest doc_id. So rows of one doc_id with different texts each have their links, and the
     smallest node of a component is the one with its smallest doc_id.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text")
     signed = written(docs.mapInArrow(
         _sign(size, bands, rows_a_band), "doc_id long, row_key long, d1 long, d2 long, bands array<long>"), "signed")
     linkable = signed.where("doc_id is not null and d1 is not null")
