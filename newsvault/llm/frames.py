@@ -15,12 +15,26 @@ from ..session import scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder, read back.
+ROWS_A_TASK = 50_000
+
+
+def gathered(df: DataFrame, rows: int, a_task: int = ROWS_A_TASK) -> DataFrame:
+    """The frame in as many partitions as there are cores, or as hold ``a_task`` of its at most ``rows`` rows.
+
+    Nothing is shuffled, and a frame of fewer partitions keeps them. So small tables take few tasks
+    and files, however many shuffle partitions the session has.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // a_task)))
+
+
+def written(df: DataFrame, name: str, rows: int | None = None, a_task: int = ROWS_A_TASK) -> DataFrame:
+    """The frame as a Parquet table in the shared folder, read back; ``gathered`` if ``rows`` is known.
 
     It cuts the lineage, survives lost executors and is computed once.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = gathered(df, rows, a_task)
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -50,20 +64,21 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     links = (edges.where("a is not null and b is not null and a <> b")
              .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     links = written(links, "links")
+    n = links.count()       # no step makes more than two links of one
     for _ in range(most):
         # large star: every larger neighbour of a node is tied to the node's smallest one
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.where("v > u").join(least, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        large = written(large, "large")
+        large = written(large, "large", 2 * n)
         # small star: a node and its smaller neighbours are tied to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u")
                  .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
                          .alias("x")).select("x.*").where("u <> v").distinct())
-        small = written(small, "small")
+        small = written(small, "small", 2 * n)
         # a star forest: nothing that is pointed at points on
         again = small.select(F.col("v").alias("u")).join(small, "u", "left_semi").limit(1).count()
         multi = small.groupBy("u").count().where("count > 1").limit(1).count()

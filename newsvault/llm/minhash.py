@@ -38,11 +38,13 @@ from pyspark.sql import functions as F
 from newsvault.operators.numbering import with_position
 
 from . import blocks
-from .frames import components, drop_scratch, table, written
+from .frames import components, drop_scratch, gathered, table, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
+KEYS_A_TASK = 500_000      # rows of a few numbers
+TEXTS_A_TASK = 5_000
 MASKS = 8                  # 64-bit words that mark a document's shared shingles
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -160,13 +162,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(a, b, same) with the exact similarity; a is the side with fewer distinct values."""
     first, second = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
                      for c in "ab")
-    return written(pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
+    both = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
+    return written(gathered(both, pairs.count(), TEXTS_A_TASK // 2)
                    .mapInArrow(_verify(size), "a long, b long, same double"), "verified")
 
 
-def _room(texts: DataFrame, comps: DataFrame, size: int) -> DataFrame:
+def _room(texts: DataFrame, comps: DataFrame, size: int, n: int) -> DataFrame:
     """doc_id, total shingles, whether none repeats (flat), and how many only documents of its own
-    component have (alone). comps: doc_id, comp of the open documents."""
+    component have (alone). comps: doc_id, comp of the open documents, n of them at most."""
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in blocks.runs(batches):
             *_, words, rows = blocks.hashed_words(run)
@@ -176,7 +179,7 @@ def _room(texts: DataFrame, comps: DataFrame, size: int) -> DataFrame:
                  pa.array(distinct.view(np.int64)), pa.array(times.astype(np.int64))],
                 ["doc_id", "comp", "item", "times"])
 
-    rows = written(texts.join(comps, "doc_id").select("doc_id", "comp", "text").mapInArrow(
+    rows = written(gathered(texts.join(comps, "doc_id").select("doc_id", "comp", "text"), n, TEXTS_A_TASK).mapInArrow(
         items, "doc_id long, comp long, item long, times long"), "items")
     own = rows.groupBy("item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo = hi") \
         .select("item", F.lit(True).alias("own"))
@@ -208,15 +211,15 @@ def _bound():
     return F.when(F.col("fx") & F.col("fy"), common / (nx + ny - common)).otherwise(weighted)
 
 
-def _open(member: DataFrame, found: DataFrame) -> DataFrame:
+def _open(member: DataFrame, found: DataFrame, n: int) -> DataFrame:
     """Rows (key, doc_id, ...) of buckets with several components, with comp and the bucket's largest
-    component (most)."""
+    component (most); of n rows."""
     member = member.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
         .withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
     sizes = member.groupBy("key", "comp").count()
     most = sizes.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("count", "comp")).alias("m")) \
         .where("n > 1").select("key", F.col("m.comp").alias("most"))
-    return written(member.join(most, "key"), "open")
+    return written(member.join(most, "key"), "open", n, KEYS_A_TASK)
 
 
 def _unseen(pairs: DataFrame, seen: DataFrame) -> DataFrame:
@@ -237,40 +240,42 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text")
     signed = written(docs.mapInArrow(
         _sign(size, bands, rows_a_band), "doc_id long, row_key long, d1 long, d2 long, bands array<long>"), "signed")
+    n = signed.count()
     linkable = signed.where("doc_id is not null and d1 is not null")
     same = written(linkable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"),
-                                                    F.min_by("row_key", "doc_id").alias("row_key")), "same")
+                                                    F.min_by("row_key", "doc_id").alias("row_key")), "same", n)
     same = written(with_position(same, [F.asc("rep"), F.asc("d1"), F.asc("d2")], "node"), "nodes")
     leads = same.select("node", F.col("rep").alias("doc_id"), "row_key", "d1", "d2")
     coded = written(linkable.join(leads, ["doc_id", "row_key", "d1", "d2"])
-                    .select(F.col("node").alias("doc_id"), "bands").dropDuplicates(["doc_id"]), "coded")
+                    .select(F.col("node").alias("doc_id"), "bands").dropDuplicates(["doc_id"]), "coded", n)
     keyed = coded.select("doc_id", F.explode("bands").alias("key"))
     buckets = (keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    held = written(keyed.join(buckets, "key"), "buckets")
+    held = written(keyed.join(buckets, "key"), "buckets", n * bands, KEYS_A_TASK)
+    n_held = held.count()
     company = held.groupBy("doc_id").agg(F.sum("n").alias("company"))
     placed = held.join(company, "doc_id")
-    leaders = placed.groupBy("key").agg(
-        F.max(F.struct("company", (-F.col("doc_id")).alias("minus"))).alias("m")) \
-        .select("key", (-F.col("m.minus")).alias("a"))
+    leaders = written(placed.groupBy("key").agg(
+        F.max(F.struct("company", (-F.col("doc_id")).alias("minus"))).alias("m"))
+        .select("key", (-F.col("m.minus")).alias("a")), "leaders", n_held, KEYS_A_TASK)
     stars = written(held.join(leaders, "key").where("doc_id <> a")
-                    .select("a", F.col("doc_id").alias("b")).distinct(), "stars")
+                    .select("a", F.col("doc_id").alias("b")).distinct(), "stars", n_held, KEYS_A_TASK)
     asked = stars.select(F.col("b").alias("doc_id")).union(stars.select("a")).distinct()
     # the bucket members are all that a later round can ask for
     asked = asked.join(leads.select(F.col("node").alias("doc_id"), F.col("doc_id").alias("rep"), "row_key"), "doc_id")
     texts = written(docs.select(F.col("doc_id").alias("rep"), "row_key", "text")
                     .join(asked.hint("merge"), ["rep", "row_key"]).select("doc_id", "text")
-                    .dropDuplicates(["doc_id"]), "texts")
+                    .dropDuplicates(["doc_id"]), "texts", n, TEXTS_A_TASK)
     first = _verified(stars, texts, size)
     links = first.where(F.col("same") >= least).select("a", "b")
     found = components(links)
 
     # buckets whose members are not yet in one component
-    member = _open(held.select("key", "doc_id"), found)
-    room = written(_room(texts, member.select("doc_id", "comp").distinct(), size), "room")
+    member = _open(held.select("key", "doc_id"), found, n_held)
+    room = written(_room(texts, member.select("doc_id", "comp").distinct(), size, n), "room", n)
     far = leaders.join(first, "a").select("key", F.col("b").alias("doc_id"), (1 - F.col("same")).alias("far"))
-    member = (member.join(room.where(1 - F.col("alone") / F.col("total") >= least), "doc_id")
-              .join(far, ["key", "doc_id"], "left").fillna(0.0, ["far"])      # the leader is no way from itself
-              .join(coded, "doc_id"))
+    member = written(member.join(far, ["key", "doc_id"], "left").fillna(0.0, ["far"])   # the leader is no way from itself
+                     .join(room.where(1 - F.col("alone") / F.col("total") >= least), "doc_id")
+                     .join(coded, "doc_id"), "member", n_held)
     left, right = (member.select("key", F.col("doc_id").alias(d), F.col("comp").alias(f"c{d}"), "most",
                                  F.col("total").alias(f"n{d}"), F.col("alone").alias(f"u{d}"),
                                  F.col("flat").alias(f"f{d}"), F.col("far").alias(f"d{d}"), F.col("bands").alias(f"b{d}"),
@@ -281,11 +286,11 @@ def classes(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, ban
              .where(F.col("key") == F.get("bx", F.array_position(F.zip_with("bx", "by", lambda p, q: p == q), True)
                                           .cast("int") - 1))      # the first bucket that both are in
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    pairs = written(_unseen(pairs, stars), "pairs")
+    pairs = written(_unseen(pairs, stars), "pairs", n_held, KEYS_A_TASK)
     more = _verified(pairs, texts, size).where(F.col("same") >= least).select("a", "b")
     merged = found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
     found = components(merged)
-    for frame in (texts, held, pairs, coded):
+    for frame in (texts, held, leaders, member, pairs, coded):
         drop_scratch(frame)
     root = same.select(F.col("node").alias("root"), F.col("rep").alias("class_id"))
     of_node = found.join(root, "root").select("node", "class_id")

@@ -122,6 +122,33 @@ def test_texts_of_one_doc_id_each_keep_their_links(spark):
     assert got == [(1, 1, True), (1, 1, True), (5, 1, False), (7, 1, False), (7, 7, True), (9, 1, False)]
 
 
+def test_small_tables_take_few_files_whatever_the_shuffle_partitions(spark, monkeypatch):
+    """Every file and task has a cost of its own, so a session of many partitions must not make as many of each."""
+    files = {}
+
+    def counted(df, name, *rest):
+        out = frames.written(df, name, *rest)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(minhash, "written", counted)
+    rows = [(100 * i + k, " ".join(f"t{i}w{j}" for j in range(60 - k))) for i in range(60) for k in range(3)]
+    many = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r.class_id for r in minhash.classes(cases.frame(spark, rows)).collect()}
+        links = components(spark.createDataFrame([(3 * i, 3 * i + k) for i in range(200) for k in (1, 2)], "a long, b long"))
+        files["components"] = len(links.inputFiles())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 100 for i, _ in rows} and links.count() == 400
+    few = max(8, spark.sparkContext.defaultParallelism)
+    assert {n: k for n, k in files.items() if k > few and n != "nodes"} == {}
+
+
 def test_word_sequences_of_one_polynomial_are_not_copies():
     word = "a"
     while len(word) < 1024:
