@@ -90,6 +90,21 @@ def test_answers_are_taken_by_position_and_fail_one_by_one(spark):
                if r.article_text)
 
 
+def test_scorers_get_runs_of_bounded_bytes(spark):
+    long = enrich.RUN_BYTES + 9
+    df = spark.range(300).select("id", F.lit(1.0).alias("tone_overall"), F.expr(
+        f"if(id % 10 = 3, null, repeat('é', if(id = 150, {long}, 10000)))").alias("article_text")).coalesce(1)
+
+    def sizes():
+        return lambda prompts, texts: [f"{len(texts)} {sum(len(x.encode()) for x in [*prompts, *texts])}"] * len(texts)
+    got = {r.id: r for r in enrich.model_responses(df, sizes).collect()}
+    assert len(got) == 300 and all(r.response_error is None for r in got.values())
+    assert [i for i, r in got.items() if r.response is None] == list(range(3, 300, 10))
+    assert all(len(r.article_text) == (long if i == 150 else 10000) for i, r in got.items() if r.response)
+    assert got[150].response.startswith("1 ")
+    assert all(int(r.response.split()[1]) <= enrich.RUN_BYTES for i, r in got.items() if r.response and i != 150)
+
+
 def test_subjects_are_found_in_the_whole_text(spark):
     text = "x " * 30000 + "FRAUD"
     df = spark.createDataFrame([(text, 1.0), ("y " * 80, 1.0)],
