@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -88,8 +90,10 @@ def _runs(batches: Iterator[pa.RecordBatch], names: list[str], limit: int = RUN_
     """Slices of the batches with about ``limit`` bytes in the named text columns, one row at least.
 
     A batch of Spark's holds up to 10,000 rows or 64 MB, and its strings take several times that as
-    Python objects.
+    Python objects. Series whose ``.str`` was used hold themselves, so their texts stay until
+    garbage is collected; after each batch this is done, and free memory goes back to the system.
     """
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     for batch in batches:
         sizes = sum(pc.fill_null(pc.binary_length(batch.column(n)), 0).to_numpy(zero_copy_only=False).astype("int64")
                     for n in names)
@@ -100,6 +104,10 @@ def _runs(batches: Iterator[pa.RecordBatch], names: list[str], limit: int = RUN_
             end = max(end, row + 1)
             yield batch.slice(row, end - row)
             row = end
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
 
 
 def model_responses(articles: DataFrame, build_scorer: Callable[[], Scorer]) -> DataFrame:
