@@ -67,7 +67,8 @@ def unflatten(v: np.ndarray) -> dict:
 
 def _found(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Place of each hash in sorted keys, -1 where it is not there."""
-    at = np.searchsorted(keys, hashes)
+    order, at = np.argsort(hashes), np.empty(len(hashes), np.int64)
+    at[order] = np.searchsorted(keys, hashes[order])    # in order, so that neighbours are searched together
     hit = np.flatnonzero(at < len(keys))
     hit = hit[keys[at[hit]] == hashes[hit]]
     out = np.full(len(hashes), -1, np.int64)
@@ -93,26 +94,65 @@ def contexts(ids: np.ndarray, rows: np.ndarray, pick: np.ndarray) -> np.ndarray:
     return out
 
 
-def _log_softmax(z):
-    z = z - z.max(-1, keepdims=True)
-    return z - np.log(np.exp(z).sum(-1, keepdims=True))
+ONES = np.ones(GROUPS, np.float32)
+BOUND = 60.0                     # exponentials up to this are finite in single precision, and so are their sums
+
+
+def _by_symbol(t: np.ndarray) -> tuple[np.ndarray, list]:
+    """Order in which words of a group stand together, and (group, first, end) of the groups that occur."""
+    order = np.argsort(t.astype(np.uint16), kind="stable")      # a radix sort, for short numbers
+    cut = np.searchsorted(t[order], np.arange(GROUPS + 1) * GROUPS).tolist()
+    return order, [(k, cut[k], cut[k + 1]) for k in range(GROUPS) if cut[k] < cut[k + 1]]
+
+
+def _tanh(x: np.ndarray) -> None:
+    """In place, by one exponential, which numpy has faster than tanh: 1 - 2 / (1 + exp(2 x))."""
+    np.multiply(x, 2, out=x)
+    np.minimum(x, BOUND, out=x)
+    np.exp(x, out=x)
+    x += 1
+    np.divide(2, x, out=x)
+    np.subtract(1, x, out=x)
+
+
+def _scores(p: dict, h: np.ndarray, groups: list, z: np.ndarray) -> None:
+    """Scores of the groups, and of the places in each word's group, into z (2 x words x GROUPS).
+
+    Hidden values lie within 1, so the weights bound the scores. Only where they could be large is
+    the largest of a row taken off, on which no softmax depends.
+    """
+    np.matmul(h, p["g"], out=z[0])
+    z[0] += p["gb"]
+    for k, a, b in groups:
+        np.matmul(h[a:b], p["s"][k], out=z[1, a:b])
+        z[1, a:b] += p["sb"][k]
+    if not max((np.abs(p[w]).sum(-2) + np.abs(p[c])).max() for w, c in (("g", "gb"), ("s", "sb"))) < BOUND:
+        z -= z.max(-1, keepdims=True)
 
 
 def log_probs(p: dict, ids: np.ndarray, around: np.ndarray, part: int = 8192) -> np.ndarray:
     """Log-probability of each symbol given the symbols around it."""
     out = np.empty(len(ids), np.float64)
+    tables = [p["e"] @ w for w in p["w"].reshape(2 * SIDE, WIDTH, HIDDEN)]      # what a symbol adds at each side
+    tables[0] = tables[0] + p["b"]
+    part = max(min(part, len(ids)), 1)
+    hidden, more = np.empty((2, part, HIDDEN), tables[0].dtype)
+    room = np.empty((2, part, GROUPS), hidden.dtype)
     for a in range(0, len(ids), part):
-        order = np.argsort(ids[a:a + part], kind="stable")      # words of a group stand together
-        t, c = ids[a:a + part][order], around[a:a + part][order]
-        h = np.tanh(p["e"][c].reshape(len(t), -1) @ p["w"] + p["b"])
-        group, place = t // GROUPS, t % GROUPS
-        lp = _log_softmax(h @ p["g"] + p["gb"])[np.arange(len(t)), group]
-        cut = np.searchsorted(group, np.arange(GROUPS + 1))
-        for k in np.flatnonzero(np.diff(cut)).tolist():
-            rows = slice(cut[k], cut[k + 1])
-            z = _log_softmax(h[rows] @ p["s"][k] + p["sb"][k])
-            lp[rows] += z[np.arange(len(z)), place[rows]]
-        out[a + order] = lp
+        n = min(part, len(ids) - a)
+        order, groups = _by_symbol(ids[a:a + n])
+        t, c = ids[a:a + n][order], around[a:a + n].T[:, order]
+        h, m, z = hidden[:n], more[:n], room[:, :n]
+        np.take(tables[0], c[0], 0, out=h, mode="clip")
+        for x, k in zip(tables[1:], c[1:]):
+            h += np.take(x, k, 0, out=m, mode="clip")
+        _tanh(h)
+        _scores(p, h, groups, z)
+        at = np.arange(n)
+        lp = z[0, at, t // GROUPS] + z[1, at, t % GROUPS]
+        np.exp(z, out=z)
+        sums = z @ ONES
+        out[a + order] = lp - np.log(sums[0]) - np.log(sums[1])
     return out
 
 
@@ -122,42 +162,54 @@ class Trainer:
     def __init__(self, p: dict, rate: float = 0.3):
         self.p = {k: v.copy() for k, v in p.items()}
         self.sums = {k: np.full(v.shape, 1e-2, np.float32) for k, v in p.items()}
-        self.rate, self.n = rate, 0
+        self.rate, self.n, self.most = rate, 0, 0
 
     def _move(self, k, g):
         self.sums[k] += g * g
         self.p[k] -= self.rate * g / np.sqrt(self.sums[k])
 
+    def _room(self, n: int) -> tuple[np.ndarray, ...]:
+        """Work arrays of n words, kept from step to step."""
+        if n > self.most:
+            self.most = n
+            self.x = np.empty((n, 2 * SIDE, WIDTH), np.float32)
+            self.h = np.empty((3, n, HIDDEN), np.float32)
+            self.z = np.empty((2, n, GROUPS), np.float32)
+        return self.x[:n], *self.h[:, :n], self.z[:, :n]
+
     def step(self, t: np.ndarray, c: np.ndarray) -> None:
         p, n = self.p, len(t)
-        order = np.argsort(t, kind="stable")        # words of a group stand together
+        order, groups = _by_symbol(t)
         t, c = t[order], c[order]
-        x = p["e"][c].reshape(n, -1)
-        h = np.tanh(x @ p["w"] + p["b"])
-        group, place, at = t // GROUPS, t % GROUPS, np.arange(n)
-
-        def slope(z, chosen):
-            """Gradient of the mean loss by the scores of a softmax."""
-            z = np.exp(z - z.max(1, keepdims=True))
-            z /= z.sum(1, keepdims=True)
-            z[at[:len(z)], chosen] -= 1
-            z /= n
-            return z
-
-        dg = slope(h @ p["g"] + p["gb"], group)
-        dh = dg @ p["g"].T
-        grads = {"g": h.T @ dg, "gb": dg.sum(0), **{k: np.zeros(SHAPES[k], np.float32) for k in ("s", "sb")}}
-        cut = np.searchsorted(group, np.arange(GROUPS + 1))
-        for k in np.flatnonzero(np.diff(cut)).tolist():
-            rows = slice(cut[k], cut[k + 1])
-            ds = slope(h[rows] @ p["s"][k] + p["sb"][k], place[rows])
-            dh[rows] += ds @ p["s"][k].T
-            grads["s"][k], grads["sb"][k] = h[rows].T @ ds, ds.sum(0)
-        dh *= 1 - h * h
-        grads.update(w=x.T @ dh, b=dh.sum(0))
-        dx = (dh @ p["w"].T).reshape(-1, WIDTH)
-        flat = c.ravel()
-        grads["e"] = np.stack([np.bincount(flat, dx[:, k], SYMBOLS) for k in range(WIDTH)], 1).astype(np.float32)
+        x, h, dh, back, z = self._room(n)
+        x = np.take(p["e"], c, 0, out=x, mode="clip").reshape(n, -1)
+        np.matmul(x, p["w"], out=h)
+        h += p["b"]
+        _tanh(h)
+        _scores(p, h, groups, z)
+        # gradient of the mean loss by the scores: the softmax, less one for what was chosen
+        np.exp(z, out=z)
+        z *= (np.float32(1 / n) / (z @ ONES))[..., None]
+        at = np.arange(n)
+        z[0, at, t // GROUPS] -= np.float32(1 / n)
+        z[1, at, t % GROUPS] -= np.float32(1 / n)
+        dg, ds = z
+        one = np.ones(n, np.float32)        # sums of columns are products with it
+        grads = {"g": h.T @ dg, "gb": one @ dg, **{k: np.zeros(SHAPES[k], np.float32) for k in ("s", "sb")}}
+        for k, a, b in groups:
+            np.matmul(h[a:b].T, ds[a:b], out=grads["s"][k])
+            np.matmul(one[a:b], ds[a:b], out=grads["sb"][k])
+            np.matmul(ds[a:b], p["s"][k].T, out=back[a:b])
+        np.matmul(dg, p["g"].T, out=dh)
+        dh += back
+        h *= h
+        np.subtract(1, h, out=h)
+        dh *= h
+        grads.update(w=x.T @ dh, b=one @ dh)
+        # of each embedded number, summed by symbol over both sides
+        dx = (p["w"] @ dh.T).reshape(2 * SIDE, WIDTH, n)
+        flat = c.T.ravel()
+        grads["e"] = np.stack([np.bincount(flat, dx[:, k].ravel(), SYMBOLS) for k in range(WIDTH)], 1).astype(np.float32)
         for k, g in grads.items():
             self._move(k, g)
         self.n += n
